@@ -101,8 +101,8 @@ def _typed_amounts(t: Tables) -> DataFrame:
 
 
 def _exported_marts(t: Tables) -> DataFrame:
+    """Rows of each mart as read back from its CSV export."""
     exports = sinks.export_marts(marts_only(t.built()), run_folder(t.spark, "exports"))
-    sinks.verify_outputs(t.spark, exports)
     return sinks.exported_counts(t.spark, exports)
 
 

@@ -37,16 +37,14 @@ def shared_folder(spark: SparkSession) -> str:
     Where the setting is missing, a temporary folder is used in local mode only; on a cluster
     a machine-local folder would be lost with its executor, so that is an error.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
-        "spark.checkpoint.dir"
-    )
+    context = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-    local = tempfile.mkdtemp(prefix="stayrate-")
-    spark.conf.set("spark.checkpoint.dir", local)
-    return local
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="stayrate-"))
+    return context.getCheckpointDir()
 
 
 def run_folder(spark: SparkSession, purpose: str) -> str:

@@ -1,0 +1,117 @@
+from decimal import Decimal
+
+import pytest
+from conftest import day, rows
+
+from stayrate.operators import quality
+from stayrate.operators.cohorts import churn_cohort, churn_cohort_stacked, transaction_summary
+from stayrate.operators.rollups import user_summary
+
+AS_OF = "2026-05-05"
+
+
+def test_unique(make):
+    users = make.users((1, "2025-01-01"), (1, "2025-01-02"), (2, "2025-01-01"), (None, "2025-01-01"),
+                       (None, "2025-01-01"))
+    assert rows(quality.check_unique(users, "user_id")) == [(1, 2)]
+
+
+def test_not_null(make):
+    users = make.users((1, None), (None, "2025-01-01"), (None, "2025-01-01", {"state": None}))
+    columns = ["user_id", "signup_date", "account_type"]
+    assert rows(quality.null_counts(users, columns)) == [
+        ("account_type", 0), ("signup_date", 1), ("user_id", 2),
+    ]
+    assert rows(quality.check_not_null(users, columns)) == [("signup_date", 1), ("user_id", 2)]
+
+
+@pytest.fixture
+def labelled(spark):
+    return spark.createDataFrame(
+        [
+            (1, "Explicit", 1, 120), (2, "Explicit", 1, 120), (3, "Silent", 1, 90), (4, "Silent", 1, 91),
+            (5, "Silent", 1, None), (6, "Active", 1, 10), (7, "Active", 0, 10),
+        ],
+        "user_id bigint, churn_type string, churned int, days_since_last_transaction int",
+    )
+
+
+def test_churn_type(labelled, make):
+    events = make.events((1, "2025-01-01", "Cancel_Account"), (1, "2025-01-02", "Cancel_Account"),
+                         (2, "2025-01-01", "Login"))
+    assert rows(quality.check_churn_type(labelled, events), "user_id", "issue") == [
+        (2, "explicit_missing_event"), (3, "silent_too_recent"), (6, "active_marked_churned"),
+    ]
+    assert rows(quality.explicit_without_cancel(labelled, events), "user_id") == [(2,)]
+
+
+def test_churn_rate(spark):
+    cohort = spark.createDataFrame(
+        [("2025-01-01", 16, 1, 6.3), ("2025-02-01", 16, 1, 6.2), ("2025-03-01", 16, 1, None),
+         ("2025-04-01", 0, 0, None)],
+        "cohort_month string, total_users bigint, churned_users bigint, churn_rate_pct double",
+    )
+    got = rows(quality.check_churn_rate(cohort), "cohort_month", "expected_churn_rate_pct")
+    assert got == [("2025-02-01", 6.3), ("2025-03-01", 6.3), ("2025-04-01", None)]
+
+
+def test_orphans(make):
+    tx = make.tx((1, "2025-01-01", 5), (8, "2025-01-01", 5), (8, "2025-01-02", 5), (None, "2025-01-01", 5))
+    assert rows(quality.check_orphans(tx, make.users((1, "2025-01-01")))) == [(8, 2)]
+
+
+def test_domain(make):
+    users = make.users((1, "2025-01-01"), (2, "2025-01-01", {"state": "ZZ"}),
+                       (3, "2025-01-01", {"state": "ZZ"}), (4, "2025-01-01", {"state": None}))
+    assert rows(quality.check_domain(users, "state", quality.DOMAINS["users"]["state"])) == [("ZZ", 2)]
+
+
+@pytest.mark.parametrize("rows_per_task", [1, 1000])
+def test_products_and_bounds(make, rows_per_task):
+    users = make.users((1, "2025-01-10", {"account": "Banking"}), (2, "2025-01-10", {"account": "Invest"}),
+                       (3, "2025-01-10"))
+    tx = make.tx(
+        (1, "2025-01-10", 5), (1, "2025-01-09", 5, "One-Time Deposit", "Invest"),
+        (2, "2026-05-05", 5, "One-Time Deposit", "Invest"), (2, "2026-05-06", 5),
+        (3, "2025-02-01", 5), (3, "2025-02-01", 5, "One-Time Deposit", "Invest"),
+        (9, "2020-01-01", 5),
+    )
+    wrong = quality.check_product_matches_account(tx, users, rows_per_task)
+    assert rows(wrong) == [(2, 1, "Invest", "Banking"), (4, 2, "Banking", "Invest")]
+    late = quality.check_activity_bounds(tx, users, "transaction_id", "transaction_date", AS_OF, rows_per_task)
+    assert rows(late, "transaction_id", "issue") == [(2, "before_signup"), (4, "after_as_of")]
+
+
+def test_amount_rules(make):
+    tx = make.tx(
+        (1, "2025-01-01", "0.01", "Round-Up", "Banking", "0.99"), (1, "2025-01-01", "3.01", "Round-Up"),
+        (1, "2025-01-01", "-5.00", "Withdrawal"), (1, "2025-01-01", "5.00", "Withdrawal"),
+        (1, "2025-01-01", "-8.00"), (1, "2025-01-01", "250.01"),
+        (1, "2025-01-01", "250.00", "Recurring Deposit", "Banking", "0.50"),
+    )
+    assert rows(quality.check_amount_rules(tx), "transaction_id", "issue") == [
+        (2, "amount_out_of_range"), (4, "wrong_sign"), (5, "wrong_sign"), (6, "amount_out_of_range"),
+        (7, "unexpected_round_up"),
+    ]
+
+
+def test_report(make):
+    users = make.users((1, "2025-01-01"), (2, "2025-01-01", {"channel": None}))
+    tx = make.tx((1, "2026-05-01", 5), (7, "2026-05-01", 5))
+    events = make.events((2, "2026-05-01", "Cancel_Account"), (None, "2026-05-01", "Login"))
+    summary = user_summary(users, tx, events, AS_OF)
+    cohort = churn_cohort(summary)
+    tables = {
+        "stg_users": users, "stg_transactions": tx, "stg_events": events, "mart_user_summary": summary,
+        "mart_churn_cohort": cohort, "mart_churn_cohort_stacked": churn_cohort_stacked(cohort),
+        "mart_transaction_summary": transaction_summary(tx),
+    }
+    report = quality.quality_report(tables)
+    assert report.count() == 22
+    assert rows(report.where("status = 'fail'")) == [
+        ("not_null:stg_events.user_id", 1, "fail"),
+        ("not_null:stg_users.acquisition_channel", 1, "fail"),
+        ("orphans:stg_transactions", 1, "fail"),
+    ]
+    assert Decimal("5.00") in [r.total_deposited for r in summary.collect()]
+    assert rows(cohort, "cohort_month") == [(day("2025-01-01"),)]
