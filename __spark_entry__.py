@@ -121,6 +121,24 @@ def _flat_events(t: Tables) -> DataFrame:
     )
 
 
+def _batch_sizes(df: DataFrame, key: str, size: int) -> DataFrame:
+    """Rows and distinct keys per batch; which rows share a batch depends on the hash."""
+    batches = numbering.with_batches(df.select(key), key, size)
+    counts = F.count(F.lit(1)).alias("n_rows"), F.countDistinct(key).alias("keys")
+    return batches.groupBy("batch_no").agg(*counts)
+
+
+def _request_totals(t: Tables) -> DataFrame:
+    rows = payload.event_payload(t.events)
+    requests = payload.request_bodies(rows, "insert_id", payload.EVENTS_PER_REQUEST)
+    return requests.agg(
+        F.count(F.lit(1)).alias("requests"),
+        F.max("n_rows").alias("largest"),
+        F.sum("n_rows").alias("n_rows"),
+        F.sum(F.length("body")).alias("characters"),
+    )
+
+
 def _wrong_rates(t: Tables) -> DataFrame:
     """Cohorts with a deliberately wrong stored rate, so that the check has something to find."""
     wrong = t.cohort.withColumn("churn_rate_pct", F.col("explicit_churn_rate_pct"))
@@ -246,28 +264,16 @@ _QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     # payloads
     "identify_payload": _flat_identify,
     "event_payload": _flat_events,
-    "user_batches": lambda t: numbering.with_batches(
-        t.summary, "user_id", payload.USERS_PER_REQUEST
-    ).select("user_id", "batch_no"),
-    "event_batches": lambda t: numbering.with_batches(
-        t.events, "event_id", payload.EVENTS_PER_REQUEST
-    ).select("event_id", "batch_no"),
-    "event_requests": lambda t: payload.request_bodies(
-        payload.event_payload(t.events), "insert_id", payload.EVENTS_PER_REQUEST
-    ).select("batch_no", "n_rows", F.length("body").cast("bigint").alias("body_length")),
+    "user_batches": lambda t: _batch_sizes(t.users, "user_id", payload.USERS_PER_REQUEST),
+    "event_batches": lambda t: _batch_sizes(t.events, "event_id", payload.EVENTS_PER_REQUEST),
+    "event_requests": _request_totals,
 }
 
 
 def _shown(df: DataFrame) -> DataFrame:
     """Money as DOUBLE."""
-    return df.select(
-        *[
-            F.col(f.name).cast("double").alias(f.name)
-            if isinstance(f.dataType, T.DecimalType)
-            else F.col(f.name)
-            for f in df.schema
-        ]
-    )
+    decimals = [f.name for f in df.schema if isinstance(f.dataType, T.DecimalType)]
+    return df.withColumns({c: F.col(c).cast("double") for c in decimals}) if decimals else df
 
 
 def entry(spark: SparkSession) -> DataFrame:

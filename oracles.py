@@ -243,7 +243,7 @@ candidates AS (
   HAVING MAX(transaction_date) < DATE '{TX_AS_OF}' - 90),
 chosen AS (
   SELECT * FROM (
-    SELECT *, ROW_NUMBER() OVER (ORDER BY MD5(CONCAT(CAST(user_id AS VARCHAR), 'cancel')))
+    SELECT *, ROW_NUMBER() OVER (ORDER BY LEFT(MD5(CONCAT(CAST(user_id AS VARCHAR), 'cancel')), 15), user_id)
                 AS position FROM candidates)
   WHERE position <= (SELECT GREATEST(1, FLOOR(COUNT(*) * 0.3::DOUBLE)) FROM candidates)),
 cancels AS (
@@ -295,6 +295,14 @@ SELECT * FROM (
   FROM summary) WHERE issue IS NOT NULL"""
 
 
+def full_batches(table: str, key: str, size: int) -> str:
+    """Batch sizes: all full but the last. Which rows share a batch is not prescribed."""
+    return f"""
+SELECT batch_no, COUNT(*) AS n_rows, COUNT(DISTINCT {key}) AS keys
+FROM (SELECT {key}, (ROW_NUMBER() OVER (ORDER BY {key}) - 1) // {size} AS batch_no FROM {table})
+GROUP BY batch_no"""
+
+
 def quality_report() -> str:
     checks = {}
     for name, (table, key) in UNIQUE_SQL.items():
@@ -518,16 +526,14 @@ SELECT *, CAST(TO_JSON({'user_id': user_id, 'user_properties': {'$set': {
 FROM (SELECT 'user_' || user_id AS user_id, signup_date, acquisition_channel, account_type,
              state, age_group, churned = 1 AS churned, churn_type FROM summary)""",
         "event_payload": EVENT_PAYLOAD,
-        "user_batches": """
-SELECT user_id, (ROW_NUMBER() OVER (ORDER BY MD5(CAST(user_id AS VARCHAR))) - 1) // 100
-         AS batch_no FROM us""",
-        "event_batches": """
-SELECT event_id, (ROW_NUMBER() OVER (ORDER BY MD5(CAST(event_id AS VARCHAR))) - 1) // 500
-         AS batch_no FROM ev""",
+        "user_batches": full_batches("us", "user_id", 100),
+        "event_batches": full_batches("ev", "event_id", 500),
         "event_requests": f"""
-SELECT batch_no, COUNT(*) AS n_rows, CAST(SUM(LENGTH(body) + 1) + 1 AS BIGINT) AS body_length
-FROM (SELECT body, (ROW_NUMBER() OVER (ORDER BY MD5(insert_id)) - 1) // 500 AS batch_no
-      FROM ({EVENT_PAYLOAD})) GROUP BY batch_no""",
+SELECT COUNT(*) AS requests, MAX(n) AS largest, CAST(SUM(n) AS BIGINT) AS n_rows,
+       CAST(SUM(body_length) AS BIGINT) AS characters
+FROM (SELECT COUNT(*) AS n, SUM(LENGTH(body) + 1) + 1 AS body_length
+      FROM (SELECT body, (ROW_NUMBER() OVER (ORDER BY insert_id) - 1) // 500 AS batch_no
+            FROM ({EVENT_PAYLOAD})) GROUP BY batch_no)""",
     }
 
 

@@ -16,19 +16,19 @@ from stayrate.functions.numbers import safe_rate
 from stayrate.operators.skew import ROWS_PER_TASK, hot_keys, only_hot, without_hot
 
 
-def _step_time(kind: str, after: str, within: dt.timedelta | None, strict: bool) -> Column:
+def _step_time(kind: int, after: str, within: dt.timedelta | None, strict: bool) -> Column:
     """Earliest time of ``kind`` after the step time column ``after``, inside the window."""
     ts = F.col("event_ts")
     follows = ts > F.col(after) if strict else ts >= F.col(after)
     if within is not None:
         follows = follows & (ts <= F.col("t1") + F.lit(within))
-    return F.min(F.when((F.col("event_type") == kind) & follows, ts))
+    return F.min(F.when((F.col("kind") == kind) & follows, ts))
 
 
 def _times_by_window(events: DataFrame, steps, within, strict) -> DataFrame:
     """Users of bounded size: one shuffle by user, then each step is a minimum per user."""
     user = Window.partitionBy("user_id")
-    first = F.min(F.when(F.col("event_type") == steps[0][0], F.col("event_ts")))
+    first = F.min(F.when(F.col("kind") == steps[0][0], F.col("event_ts")))
     timed = events.withColumn("t1", first.over(user)).where(F.col("t1").isNotNull())
     for i, (kind, after) in enumerate(steps[1:], start=2):
         step = _step_time(kind, f"t{after}", within, strict)
@@ -40,7 +40,7 @@ def _times_by_window(events: DataFrame, steps, within, strict) -> DataFrame:
 def _times_by_rounds(events: DataFrame, steps, within, strict) -> DataFrame:
     """Hot users: one map-side combined minimum per step. The step times found so far, one row
     per hot user, are broadcast to the events, which are never brought together by user."""
-    first = events.where(F.col("event_type") == steps[0][0])
+    first = events.where(F.col("kind") == steps[0][0])
     times = first.groupBy("user_id").agg(F.min("event_ts").alias("t1"))
     for i, (kind, after) in enumerate(steps[1:], start=2):
         step = _step_time(kind, f"t{after}", within, strict).alias(f"t{i}")
@@ -62,12 +62,15 @@ def step_times(
     ``strict`` demands a later timestamp; use False for data that only has dates.
     """
     kinds = list(dict.fromkeys(kind for kind, _ in steps))
+    # Numbers instead of type names keep the shuffled rows short.
+    number = F.array_position(F.array(*[F.lit(k) for k in kinds]), F.col("event_type"))
     relevant = events.where(F.col("event_type").isin(kinds)).select(
-        "user_id", "event_type", "event_ts"
+        "user_id", "event_ts", number.cast("int").alias("kind")
     )
-    hot = hot_keys(relevant, "user_id", rows_per_task).select("user_id")
-    regular = _times_by_window(without_hot(relevant, hot, "user_id"), steps, within, strict)
-    big = _times_by_rounds(only_hot(relevant, hot, "user_id"), steps, within, strict)
+    numbered = [(kinds.index(kind) + 1, after) for kind, after in steps]
+    hot = hot_keys(relevant, "user_id", rows_per_task)
+    regular = _times_by_window(without_hot(relevant, hot, "user_id"), numbered, within, strict)
+    big = _times_by_rounds(only_hot(relevant, hot, "user_id"), numbered, within, strict)
     return regular.unionByName(big)
 
 

@@ -1,23 +1,34 @@
 """Dense row numbers and exact samples without a global sort.
 
-Rows are ordered by the MD5 of their key, which spreads any key evenly. The first hex digits of
-the hash make the buckets; the rows before each bucket are added up over one row per bucket (at
-most 16^digits, whatever the data), and rows are numbered inside their bucket in parallel. Keys
-must be unique.
+Rows are ordered by a 60-bit hash of their key, which spreads any key evenly, and then by the
+key. The first bits of the hash make the buckets; the rows before each bucket are added up over
+one row per bucket (at most 16^digits, whatever the data), and rows are numbered inside their
+bucket in parallel. Keys must be unique.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# 4,096 buckets. Add a digit per factor of 16 beyond about 10^10 rows.
-DIGITS = 3
+# 65,536 buckets. Add a digit per factor of 16 beyond about 10^11 rows.
+DIGITS = 4
+HASH_BITS = 60
 
 
-def _hashed(df: DataFrame, key: str, seed: str, digits: int) -> DataFrame:
-    hashed = F.md5(F.concat(F.col(key).cast("string"), F.lit(seed)))
-    return df.withColumn("_hash", hashed).withColumn("_bucket", F.substring("_hash", 1, digits))
+def _md5_bits(key: Column, seed: str) -> Column:
+    """Reproducible in any system that has MD5: the first 15 hex digits as a number."""
+    md5 = F.md5(F.concat(key.cast("string"), F.lit(seed)))
+    return F.conv(F.substring(md5, 1, 15), 16, 10).cast("bigint")
+
+
+def _fast_bits(key: Column) -> Column:
+    return F.xxhash64(key).bitwiseAND(F.lit((1 << HASH_BITS) - 1))
+
+
+def _hashed(df: DataFrame, bits: Column, digits: int) -> DataFrame:
+    bucket = F.shiftright("_hash", HASH_BITS - 4 * digits).cast("int")
+    return df.withColumn("_hash", bits).withColumn("_bucket", bucket)
 
 
 def _offsets(hashed: DataFrame) -> DataFrame:
@@ -40,10 +51,10 @@ def _numbered(hashed: DataFrame, key: str, name: str) -> DataFrame:
 
 
 def with_position(
-    df: DataFrame, key: str, seed: str = "", name: str = "position", digits: int = DIGITS
+    df: DataFrame, key: str, name: str = "position", digits: int = DIGITS
 ) -> DataFrame:
     """Adds the row's number 1 … n in hash order."""
-    hashed = _hashed(df, key, seed, digits)
+    hashed = _hashed(df, _fast_bits(F.col(key)), digits)
     placed = hashed.join(F.broadcast(_offsets(hashed)), "_bucket")
     return _numbered(placed, key, name).select(*df.columns, name)
 
@@ -58,10 +69,10 @@ def sample_fraction(
 ) -> DataFrame:
     """Exactly ``max(1, int(n * fraction))`` rows without replacement (none if n = 0), numbered.
 
-    The sample is the first rows in hash order, hence repeatable. Buckets behind the last chosen
-    row are dropped before the shuffle.
+    The sample is the first rows in the order of the seeded MD5, hence repeatable here and
+    elsewhere. Buckets behind the last chosen row are dropped before the shuffle.
     """
-    hashed = _hashed(df, key, seed, digits)
+    hashed = _hashed(df, _md5_bits(F.col(key), seed), digits)
     wanted = F.greatest(F.floor(F.col("_total") * F.lit(float(fraction))), F.lit(1))
     placed = hashed.join(F.broadcast(_offsets(hashed)), "_bucket").where(
         F.col("_before") < wanted
@@ -70,10 +81,8 @@ def sample_fraction(
     return chosen.select(*df.columns, name)
 
 
-def with_batches(
-    df: DataFrame, key: str, size: int, seed: str = "", digits: int = DIGITS
-) -> DataFrame:
+def with_batches(df: DataFrame, key: str, size: int, digits: int = DIGITS) -> DataFrame:
     """Adds ``batch_no`` 0, 1, …: every batch has ``size`` rows, only the last may have fewer."""
-    numbered = with_position(df, key, seed, "_position", digits)
+    numbered = with_position(df, key, "_position", digits)
     batch = F.call_function("div", F.col("_position") - 1, F.lit(size).cast("bigint"))
     return numbered.withColumn("batch_no", batch).drop("_position")

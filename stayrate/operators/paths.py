@@ -27,33 +27,29 @@ def _div(num, den):
     return F.call_function("div", num, den)
 
 
-def _sliced(events: DataFrame, rows_per_task: int):
-    """(hot users' size and range, function that numbers the slices of their rows)."""
+def _sliced(events: DataFrame, rows_per_task: int) -> DataFrame:
+    """Events of hot users with the number of their slice, about ``rows_per_task`` rows each."""
     millis = epoch_millis(F.col("event_ts"))
     midnight = F.col("event_ts") == F.col("event_ts").cast("date").cast("timestamp_ntz")
-    hot = hot_keys(
-        events,
-        "user_id",
-        rows_per_task,
+    spans = events.groupBy("user_id").agg(
+        F.ceil(F.count(F.lit(1)) / F.lit(rows_per_task)).alias("slices"),
         F.min(millis).alias("t_min"),
         F.max(millis).alias("t_max"),
-        F.min("event_id").alias("id_min"),
-        F.max("event_id").alias("id_max"),
+        F.min("event_id").cast("double").alias("id_min"),
+        F.max("event_id").cast("double").alias("id_max"),
         F.bool_and(midnight).alias("dates_only"),
     )
-    wanted = F.ceil(F.col("key_rows") / F.lit(rows_per_task))
     day = F.lit(86_400_000)
-    days = _div(F.col("t_max") - F.col("t_min"), day) + 1
+    wanted, since = F.col("slices"), millis - F.col("t_min")
+    span = F.col("t_max") - F.col("t_min")
     # Equal spans of time. With dates alone a day is the smallest span, so days that are still
     # too large are cut by event id, which is the order within a day.
-    by_time = _div((millis - F.col("t_min")) * wanted, F.col("t_max") - F.col("t_min") + 1)
-    per_day = F.ceil(wanted / days)
-    id_share = (F.col("event_id").cast("double") - F.col("id_min")) / (
-        F.col("id_max").cast("double") - F.col("id_min") + 1
-    )
-    in_day = F.least(F.floor(id_share * per_day), per_day - 1)
-    by_day = _div(millis - F.col("t_min"), day) * per_day + in_day
-    return hot, F.when(F.col("dates_only"), by_day).otherwise(by_time)
+    by_time = _div(since * wanted, span + 1)
+    per_day = F.ceil(wanted / (_div(span, day) + 1))
+    id_share = (F.col("event_id") - F.col("id_min")) / (F.col("id_max") - F.col("id_min") + 1)
+    by_day = _div(since, day) * per_day + F.least(F.floor(id_share * per_day), per_day - 1)
+    number = F.when(F.col("dates_only"), by_day).otherwise(by_time)
+    return events.join(F.broadcast(spans), "user_id").select(*FACT, number.alias("slice"))
 
 
 def _with_previous(events: DataFrame, depth: int, *parts: str) -> DataFrame:
@@ -69,33 +65,39 @@ def _with_previous(events: DataFrame, depth: int, *parts: str) -> DataFrame:
     )
 
 
-def path_ends(
-    events: DataFrame,
-    targets: Sequence[str],
-    depth: int,
-    rows_per_task: int = ROWS_PER_TASK,
-) -> DataFrame:
-    """``user_id, event_id, path`` for every target event."""
+def _ends_by_user(
+    events: DataFrame, targets: Sequence[str], depth: int, rows_per_task: int
+) -> tuple[DataFrame, DataFrame]:
+    """Paths of regular users, still partitioned by user, and paths of hot users."""
     events = events.select(*FACT)
     is_target = F.col("event_type").isin(list(targets))
     out = ["user_id", "event_id", "path"]
-    hot, slice_no = _sliced(events, rows_per_task)
+    hot = hot_keys(events, "user_id", rows_per_task)
 
     regular = _with_previous(without_hot(events, hot, "user_id"), depth, "user_id")
-    done = [regular.where(is_target).select(*out)]
+    regular = regular.where(is_target).select(*out)
 
-    sliced = only_hot(events, hot, "user_id").select(*FACT, slice_no.alias("slice"))
+    sliced = _sliced(only_hot(events, hot, "user_id"), rows_per_task)
     inner = _with_previous(sliced, depth, "user_id", "slice")
     first_rows = F.col("row_no") <= depth
     complete = ~first_rows | (F.col("slice") == 0)
-    done.append(inner.where(is_target & complete).select(*out))
-
     edges = inner.where(first_rows | F.col("in_tail")).select(
         *FACT, (first_rows & (F.col("slice") > 0)).alias("open")
     )
-    joined = _with_previous(edges, depth, "user_id")
-    done.append(joined.where(is_target & F.col("open")).select(*out))
-    return done[0].unionByName(done[1]).unionByName(done[2])
+    joined = _with_previous(edges, depth, "user_id").where(is_target & F.col("open"))
+    big = inner.where(is_target & complete).select(*out).unionByName(joined.select(*out))
+    return regular, big
+
+
+def path_ends(
+    events: DataFrame,
+    targets: Sequence[str],
+    depth: int,
+    rows_per_task: int = ROWS_PER_TASK,
+) -> DataFrame:
+    """``user_id, event_id, path`` for every target event."""
+    regular, big = _ends_by_user(events, targets, depth, rows_per_task)
+    return regular.unionByName(big)
 
 
 def paths_to(
@@ -104,12 +106,17 @@ def paths_to(
     depth: int = 3,
     rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
-    """How often each path led to a target, and for how many users."""
-    per_user = (
-        path_ends(events, targets, depth, rows_per_task)
-        .groupBy("path", "user_id")
-        .agg(F.count(F.lit(1)).alias("n"))
+    """How often each path led to a target, and for how many users.
+
+    Counting per user comes before the union: regular rows already lie together by user, so this
+    step shuffles nothing and only path totals travel.
+    """
+    regular, big = (
+        ends.groupBy("user_id", "path").agg(F.count(F.lit(1)).alias("n"))
+        for ends in _ends_by_user(events, targets, depth, rows_per_task)
     )
-    return per_user.groupBy("path").agg(
-        F.sum("n").alias("occurrences"), F.count(F.lit(1)).alias("users")
+    return (
+        regular.unionByName(big)
+        .groupBy("path")
+        .agg(F.sum("n").alias("occurrences"), F.count(F.lit(1)).alias("users"))
     )

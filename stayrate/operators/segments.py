@@ -97,27 +97,29 @@ def segment_counts(events: DataFrame, users: DataFrame, dims: Sequence[str]) ->
     """Events and distinct users per event type and value of each dimension.
 
     ``dims`` may name event columns (such as platform) and user columns. Events are counted per
-    user first; a user then adds at most one row per type and value to the shuffle that finds
-    the distinct users, however many events the user has.
+    user first, with the event's own value where the dimension is one of events. A row of that
+    count is one distinct user, so the few large groups at the end only add up numbers.
     """
     event_dims = [d for d in dims if d in events.columns]
     user_dims = [d for d in dims if d not in event_dims]
-    per_user = (
-        events.where(F.col("user_id").isNotNull())
-        .groupBy("user_id", "event_type", *event_dims)
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    if user_dims:
-        per_user = per_user.join(users.select("user_id", *user_dims), "user_id", "left")
+    known = events.where(F.col("user_id").isNotNull())
+    n = F.count(F.lit(1)).alias("n")
     keys = ["dimension", "segment", "event_type"]
-    return (
-        per_user.unpivot(["user_id", "event_type", "n"], list(dims), "dimension", "segment")
-        .where(F.col("segment").isNotNull())
-        .groupBy(*keys, "user_id")
-        .agg(F.sum("n").alias("n"))
+    parts = []
+    if event_dims:
+        long = known.unpivot(["user_id", "event_type"], event_dims, "dimension", "segment")
+        parts.append(long.groupBy(*keys, "user_id").agg(n))
+    if user_dims:
+        per_user = known.groupBy("user_id", "event_type").agg(n)
+        joined = per_user.join(users.select("user_id", *user_dims), "user_id")
+        parts.append(joined.unpivot(["user_id", "event_type", "n"], user_dims, *keys[:2]))
+    totals = [
+        part.where(F.col("segment").isNotNull())
         .groupBy(*keys)
         .agg(F.sum("n").alias("events"), F.count(F.lit(1)).alias("users"))
-    )
+        for part in parts
+    ]
+    return totals[0] if len(totals) == 1 else totals[0].unionByName(totals[1])
 
 
 def session_stats(events: DataFrame, summary: DataFrame) -> DataFrame:

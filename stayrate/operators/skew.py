@@ -4,8 +4,8 @@ Aggregates need no help here, since Spark combines them before the shuffle. Oper
 bring the *rows* of a user together (windows, fact-level joins) treat hot users apart:
 
 * a key is hot when it has more than ``rows_per_task`` rows, so there are at most
-  ``rows / rows_per_task`` hot keys however the data is distributed. At 5 million that is 200,000
-  keys for 10^12 rows: a table of that size can be broadcast;
+  ``rows / rows_per_task`` hot keys however the data is distributed. At one million that is a million
+  keys (some 16 MB) for 10^12 rows, which can be broadcast;
 * rows of hot keys are joined to broadcast data and never shuffled by their key;
 * rows of all other keys are shuffled by key, at most ``rows_per_task`` of them per key.
 
@@ -17,28 +17,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-ROWS_PER_TASK = 5_000_000
+ROWS_PER_TASK = 1_000_000
 
 
-def hot_keys(facts: DataFrame, key: str, rows_per_task: int = ROWS_PER_TASK, *extra) -> DataFrame:
-    """Keys with more than ``rows_per_task`` rows, with their row count and ``extra`` aggregates."""
-    return (
-        facts.where(F.col(key).isNotNull())
-        .groupBy(key)
-        .agg(F.count(F.lit(1)).alias("key_rows"), *extra)
-        .where(F.col("key_rows") > rows_per_task)
-    )
+def hot_keys(facts: DataFrame, key: str, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """Keys with more than ``rows_per_task`` rows: a count of the key column alone."""
+    counts = facts.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    return counts.where(F.col("n") > rows_per_task).select(key)
 
 
 def without_hot(facts: DataFrame, hot: DataFrame, key: str) -> DataFrame:
     """Rows whose key is neither hot nor NULL."""
     kept = facts.where(F.col(key).isNotNull())
-    return kept.join(F.broadcast(hot.select(key)), key, "left_anti")
+    return kept.join(F.broadcast(hot), key, "left_anti")
 
 
 def only_hot(facts: DataFrame, hot: DataFrame, key: str) -> DataFrame:
-    """Rows of hot keys, with the columns of ``hot``; a broadcast join, no shuffle of facts."""
-    return facts.join(F.broadcast(hot), key)
+    """Rows of hot keys: a broadcast join, no shuffle of facts."""
+    return facts.join(F.broadcast(hot), key, "left_semi")
 
 
 def attach(
@@ -51,7 +47,7 @@ def attach(
     """
     hot = hot_keys(facts, key, rows_per_task)
     regular = without_hot(facts, hot, key).join(per_key, key, "left")
-    hot_lookup = per_key.join(F.broadcast(hot.select(key)), key, "left_semi")
-    big = only_hot(facts, hot.select(key), key).join(F.broadcast(hot_lookup), key, "left")
+    hot_lookup = only_hot(per_key, hot, key)
+    big = only_hot(facts, hot, key).join(F.broadcast(hot_lookup), key, "left")
     unkeyed = facts.where(F.col(key).isNull())
     return regular.unionByName(big).unionByName(unkeyed, allowMissingColumns=True)

@@ -5,44 +5,44 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stayrate.functions.numbers import money
+from stayrate.functions.numbers import MONEY
 
 
 def stg_users(raw: DataFrame) -> DataFrame:
-    return raw.select(
-        F.col("User_ID").cast("bigint").alias("user_id"),
-        F.col("Signup_Date").cast("date").alias("signup_date"),
-        F.col("Acquisition_Channel").alias("acquisition_channel"),
-        F.col("Account_Type").alias("account_type"),
-        F.col("State").alias("state"),
-        F.col("Age_Group").alias("age_group"),
+    return raw.selectExpr(
+        "cast(User_ID AS bigint) AS user_id",
+        "cast(Signup_Date AS date) AS signup_date",
+        "Acquisition_Channel AS acquisition_channel",
+        "Account_Type AS account_type",
+        "State AS state",
+        "Age_Group AS age_group",
     )
 
 
 def stg_transactions(raw: DataFrame) -> DataFrame:
-    return raw.select(
-        F.col("Transaction_ID").cast("bigint").alias("transaction_id"),
-        F.col("User_ID").cast("bigint").alias("user_id"),
-        F.col("Transaction_Date").cast("date").alias("transaction_date"),
-        money(F.col("Amount_USD")).alias("amount_usd"),
-        F.col("Transaction_Type").alias("transaction_type"),
-        F.col("Product").alias("product"),
-        money(F.col("Round_Up")).alias("round_up"),
+    return raw.selectExpr(
+        "cast(Transaction_ID AS bigint) AS transaction_id",
+        "cast(User_ID AS bigint) AS user_id",
+        "cast(Transaction_Date AS date) AS transaction_date",
+        f"cast(Amount_USD AS {MONEY}) AS amount_usd",
+        "Transaction_Type AS transaction_type",
+        "Product AS product",
+        f"cast(Round_Up AS {MONEY}) AS round_up",
     )
 
 
 def stg_events(raw: DataFrame) -> DataFrame:
     """``event_ts`` is the source's timestamp if it has one (``Event_Ts``), else midnight."""
     has_time = "event_ts" in {c.lower() for c in raw.columns}
-    ts = F.col("Event_Ts") if has_time else F.col("Event_Date").cast("date")
-    return raw.select(
-        F.col("Event_ID").cast("bigint").alias("event_id"),
-        F.col("User_ID").cast("bigint").alias("user_id"),
-        F.col("Event_Date").cast("date").alias("event_date"),
-        ts.cast("timestamp_ntz").alias("event_ts"),
-        F.col("Event_Type").alias("event_type"),
-        F.col("Platform").alias("platform"),
-        F.col("Session_Duration_Sec").alias("session_duration_sec"),
+    ts = "Event_Ts" if has_time else "cast(Event_Date AS date)"
+    return raw.selectExpr(
+        "cast(Event_ID AS bigint) AS event_id",
+        "cast(User_ID AS bigint) AS user_id",
+        "cast(Event_Date AS date) AS event_date",
+        f"cast({ts} AS timestamp_ntz) AS event_ts",
+        "Event_Type AS event_type",
+        "Platform AS platform",
+        "Session_Duration_Sec AS session_duration_sec",
     )
 
 

@@ -13,8 +13,8 @@ def build_session(app: str = "stayrate", master: str | None = None) -> SparkSess
     """A session with the settings the operators are tuned for.
 
     Only pass ``master`` for local work; on a cluster the submit command names it. Shuffle
-    partitions are set for local masters alone: a cluster's own value (sized so that one
-    partition fits an executor) is left untouched, and AQE merges what turns out small.
+    partitions and memory are set for local masters alone: a cluster's own values (sized so that
+    one partition fits an executor) are left untouched, and AQE merges what turns out small.
     """
     builder = (
         SparkSession.builder.appName(app)
@@ -23,11 +23,15 @@ def build_session(app: str = "stayrate", master: str | None = None) -> SparkSess
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.ui.enabled", "false")
+        # Recording the Python call site of every column takes longer than a small query.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     if master:
         builder = builder.master(master)
         if master.startswith("local"):
-            builder = builder.config("spark.sql.shuffle.partitions", "8")
+            builder = builder.config("spark.sql.shuffle.partitions", "8").config(
+                "spark.driver.memory", "12g"
+            )
     return builder.getOrCreate()
 
 

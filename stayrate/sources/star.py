@@ -6,10 +6,10 @@ from keys and existing columns. The rows are all of the source rows; nothing is
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stayrate.functions.numbers import money
+from stayrate.functions.numbers import MONEY
 from stayrate.functions.transactions import round_up, signed_amount
 
 # How source codes map to the domain's values.
@@ -47,16 +47,16 @@ def read_star(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _pick(values: tuple[str, ...], key: Column) -> Column:
-    slot = F.pmod(key, F.lit(len(values))).cast("int")
-    return F.element_at(F.array(*[F.lit(v) for v in values]), slot + 1)
+def _pick(values: tuple[str, ...], key: str) -> str:
+    """SQL that spreads values over a key."""
+    listed = ", ".join(f"'{v}'" for v in values)
+    return f"element_at(array({listed}), cast(pmod({key}, {len(values)}) as int) + 1)"
 
 
-def _map(values: dict[str, str], code: Column) -> Column:
-    out = None
-    for source, target in values.items():
-        out = (F if out is None else out).when(code == source, target)
-    return out
+def _map(values: dict[str, str], code: str, otherwise: str = "NULL") -> str:
+    """SQL that translates codes."""
+    branches = " ".join(f"WHEN {code} = '{a}' THEN '{b}'" for a, b in values.items())
+    return f"CASE {branches} ELSE {otherwise} END"
 
 
 def raw_users(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,54 +66,55 @@ def raw_users(spark: SparkSession, sf_dir: str) -> DataFrame:
         .groupBy(F.col("o_custkey").alias("c_custkey"))
         .agg(F.min("o_orderdate").alias("first_order"))
     )
-    nation = read_star(spark, sf_dir, "nation").select(
-        F.col("n_nationkey").alias("c_nationkey"), "n_name"
-    )
-    key = F.col("c_custkey")
+    nation = read_star(spark, sf_dir, "nation").selectExpr("n_nationkey AS c_nationkey", "n_name")
     return (
         read_star(spark, sf_dir, "customer")
         .join(first_order, "c_custkey", "left")
         .join(nation, "c_nationkey", "left")
-        .select(
-            key.alias("User_ID"),
-            F.col("first_order").cast("date").alias("Signup_Date"),
-            F.col("c_mktsegment").alias("Acquisition_Channel"),
-            _pick(ACCOUNT_TYPES, key).alias("Account_Type"),
-            F.col("n_name").alias("State"),
-            _pick(AGE_GROUPS, key).alias("Age_Group"),
+        .selectExpr(
+            "c_custkey AS User_ID",
+            "cast(first_order AS date) AS Signup_Date",
+            "c_mktsegment AS Acquisition_Channel",
+            f"{_pick(ACCOUNT_TYPES, 'c_custkey')} AS Account_Type",
+            "n_name AS State",
+            f"{_pick(AGE_GROUPS, 'c_custkey')} AS Age_Group",
         )
     )
 
 
 def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kind = _map(TRANSACTION_TYPES, F.col("o_orderpriority"))
-    amount = money(F.col("o_totalprice"))
-    return read_star(spark, sf_dir, "orders").select(
-        F.col("o_orderkey").alias("Transaction_ID"),
-        F.col("o_custkey").alias("User_ID"),
-        F.col("o_orderdate").cast("date").alias("Transaction_Date"),
-        money(signed_amount(kind, amount)).alias("Amount_USD"),
-        kind.alias("Transaction_Type"),
-        F.when(F.col("o_orderstatus") == "F", "Banking").otherwise("Invest").alias("Product"),
-        round_up(kind, amount).alias("Round_Up"),
+    """orders; the priority gives the type, the type the sign and the round-up."""
+    kind, price = F.col("Transaction_Type"), F.col("price")
+    orders = read_star(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey AS Transaction_ID",
+        "o_custkey AS User_ID",
+        "cast(o_orderdate AS date) AS Transaction_Date",
+        f"cast(o_totalprice AS {MONEY}) AS price",
+        f"{_map(TRANSACTION_TYPES, 'o_orderpriority')} AS Transaction_Type",
+        "CASE WHEN o_orderstatus = 'F' THEN 'Banking' ELSE 'Invest' END AS Product",
+    )
+    return orders.select(
+        "Transaction_ID",
+        "User_ID",
+        "Transaction_Date",
+        signed_amount(kind, price).alias("Amount_USD"),
+        kind,
+        "Product",
+        round_up(kind, price).alias("Round_Up"),
     )
 
 
 def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """events; errors with a large value stand for cancellations, other errors for statement views."""
-    cancel = (F.col("event_type") == "error") & (F.col("value") > CANCEL_ABOVE)
-    kind = F.coalesce(
-        _map(EVENT_TYPES, F.col("event_type")),
-        F.when(cancel, "Cancel_Account").otherwise("View_Statement"),
-    )
-    return read_star(spark, sf_dir, "events").select(
-        F.col("event_id").alias("Event_ID"),
-        F.col("user_id").alias("User_ID"),
-        F.col("ts").cast("date").alias("Event_Date"),
-        F.col("ts").alias("Event_Ts"),
-        kind.alias("Event_Type"),
-        _pick(PLATFORMS, F.col("event_id")).alias("Platform"),
-        F.col("value").cast("decimal(12,2)").alias("Session_Duration_Sec"),
+    """events; errors with a large value stand for cancellations, the others for statement views."""
+    error = f"CASE WHEN value > {CANCEL_ABOVE} THEN 'Cancel_Account' ELSE 'View_Statement' END"
+    return read_star(spark, sf_dir, "events").selectExpr(
+        "event_id AS Event_ID",
+        "user_id AS User_ID",
+        "cast(ts AS date) AS Event_Date",
+        "ts AS Event_Ts",
+        f"{_map(EVENT_TYPES, 'event_type', error)} AS Event_Type",
+        f"{_pick(PLATFORMS, 'event_id')} AS Platform",
+        "cast(value AS decimal(12,2)) AS Session_Duration_Sec",
     )
 
 
