@@ -17,50 +17,31 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from stayrate.functions.calendar import epoch_millis
 from stayrate.operators.skew import ROWS_PER_TASK, hot_keys, only_hot, without_hot
 
 FACT = ("user_id", "event_id", "event_ts", "event_type")
 
 
-def _div(num, den):
-    return F.call_function("div", num, den)
+def _sliced(events: DataFrame) -> DataFrame:
+    """Rows with the number of the range partition they sort into.
 
-
-def _sliced(events: DataFrame, rows_per_task: int) -> DataFrame:
-    """Events of hot users with the number of their slice, about ``rows_per_task`` rows each."""
-    millis = epoch_millis(F.col("event_ts"))
-    midnight = F.col("event_ts") == F.col("event_ts").cast("date").cast("timestamp_ntz")
-    spans = events.groupBy("user_id").agg(
-        F.ceil(F.count(F.lit(1)) / F.lit(rows_per_task)).alias("slices"),
-        F.min(millis).alias("t_min"),
-        F.max(millis).alias("t_max"),
-        F.min("event_id").cast("double").alias("id_min"),
-        F.max("event_id").cast("double").alias("id_max"),
-        F.bool_and(midnight).alias("dates_only"),
-    )
-    day = F.lit(86_400_000)
-    wanted, since = F.col("slices"), millis - F.col("t_min")
-    span = F.col("t_max") - F.col("t_min")
-    # Equal spans of time. With dates alone a day is the smallest span, so days that are still
-    # too large are cut by event id, which is the order within a day.
-    by_time = _div(since * wanted, span + 1)
-    per_day = F.ceil(wanted / (_div(span, day) + 1))
-    id_share = (F.col("event_id") - F.col("id_min")) / (F.col("id_max") - F.col("id_min") + 1)
-    by_day = _div(since, day) * per_day + F.least(F.floor(id_share * per_day), per_day - 1)
-    number = F.when(F.col("dates_only"), by_day).otherwise(by_time)
-    return events.join(F.broadcast(spans), "user_id").select(*FACT, number.alias("slice"))
+    The ranges are balanced over (user, time, id), so neither a burst nor many events on one
+    date makes a large slice. Their number is the session's number of shuffle partitions.
+    """
+    ranges = int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = events.repartitionByRange(ranges, "user_id", "event_ts", "event_id")
+    return ranged.withColumn("slice", F.spark_partition_id())
 
 
 def _with_previous(events: DataFrame, depth: int, *parts: str) -> DataFrame:
-    """Adds the types of the ``depth`` rows before, oldest first, and the row's number."""
+    """Adds the types of the ``depth`` rows before, oldest first, and the row's place."""
     order = Window.partitionBy(*parts).orderBy("event_ts", "event_id")
     kind = F.col("event_type")
     before = [F.lag(kind, i).over(order) for i in range(depth, 0, -1)]
     return events.select(
         "*",
         F.concat_ws(" > ", *before, kind).alias("path"),
-        F.row_number().over(order).alias("row_no"),
+        (F.row_number().over(order) <= depth).alias("in_head"),
         F.lead(kind, depth).over(order).isNull().alias("in_tail"),
     )
 
@@ -71,22 +52,23 @@ def _ends_by_user(
     """Paths of regular users, still partitioned by user, and paths of hot users."""
     events = events.select(*FACT)
     is_target = F.col("event_type").isin(list(targets))
-    out = ["user_id", "event_id", "path"]
     hot = hot_keys(events, "user_id", rows_per_task)
 
     regular = _with_previous(without_hot(events, hot, "user_id"), depth, "user_id")
-    regular = regular.where(is_target).select(*out)
-
-    sliced = _sliced(only_hot(events, hot, "user_id"), rows_per_task)
-    inner = _with_previous(sliced, depth, "user_id", "slice")
-    first_rows = F.col("row_no") <= depth
-    complete = ~first_rows | (F.col("slice") == 0)
-    edges = inner.where(first_rows | F.col("in_tail")).select(
-        *FACT, (first_rows & (F.col("slice") > 0)).alias("open")
+    regular = regular.where(is_target).select("user_id", "event_id", "path")
+
+    inner = _with_previous(_sliced(only_hot(events, hot, "user_id")), depth, "user_id", "slice")
+    is_edge = F.col("in_head") | F.col("in_tail")
+    # All edges of a user share one window; finished targets ride along in their own slice.
+    kept = inner.where(is_edge | is_target).select(
+        *FACT,
+        F.col("path").alias("own_path"),
+        F.col("in_head").alias("unfinished"),
+        F.when(~is_edge, F.col("slice")).alias("part"),
     )
-    joined = _with_previous(edges, depth, "user_id").where(is_target & F.col("open"))
-    big = inner.where(is_target & complete).select(*out).unionByName(joined.select(*out))
-    return regular, big
+    across = F.when(F.col("unfinished"), F.col("path")).otherwise(F.col("own_path"))
+    big = _with_previous(kept, depth, "user_id", "part").where(is_target)
+    return regular, big.select("user_id", "event_id", across.alias("path"))
 
 
 def path_ends(

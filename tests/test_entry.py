@@ -28,6 +28,16 @@ def test_entry_has_rows(spark):
     assert entry_module.entry(spark).count() == 26
 
 
+def test_known_totals(spark):
+    """Counts established beforehand on the next larger tables."""
+    sf = os.path.join(TESTDATA, "sf0.01")
+    queries = entry_module.queries()
+    assert [r.users for r in queries["funnel"](spark, sf).collect()] == [150, 39, 10]
+    headline = queries["headline"](spark, sf).first()
+    assert (headline.total_users, headline.churned_users) == (1500, 1021)
+    assert queries["cancelled_users"](spark, sf).count() == 38
+
+
 @pytest.mark.parametrize("name", sorted(entry_module.queries()))
 def test_same_result_as_sql(spark, duck, name):
     df = entry_module.queries()[name](spark, SF)

@@ -166,16 +166,18 @@ def test_path_counts(spark):
         assert got == {path: (n, users[path]) for path, n in occurrences.items()}
 
 
-def test_slices_bound_the_windows(spark):
-    """One user owns most rows; no slice may come near the user's size."""
-    n, limit = 4000, 200
-    events = [(i, 1, (START + dt.timedelta(minutes=i)).date(), START + dt.timedelta(minutes=i), "Login", "Web", 1)
-              for i in range(n)]
-    same_day = [(e[0], 1, START.date(), START, "Login", "Web", 1) for e in events]
-    for history in (events, same_day):
-        df = paths._sliced(spark.createDataFrame(history, EVENTS), limit)
-        sizes = [r["count"] for r in df.groupBy("slice").count().collect()]
-        assert len(sizes) == n // limit and max(sizes) <= limit
+@pytest.mark.parametrize("shape", ["even", "burst", "one date"])
+def test_slices_are_balanced(spark, shape):
+    """However a user's events lie in time, no slice comes near the user's size."""
+    n, slices = 4000, int(spark.conf.get("spark.sql.shuffle.partitions"))
+    minutes = {
+        "even": lambda i: i, "burst": lambda i: 500_000 * (i == 0), "one date": lambda i: 0,
+    }[shape]
+    times = [START + dt.timedelta(minutes=minutes(i)) for i in range(n)]
+    events = [(i, 1, ts.date(), ts, "Login", "Web", 1) for i, ts in enumerate(times)]
+    df = paths._sliced(spark.createDataFrame(events, EVENTS))
+    sizes = [r["count"] for r in df.groupBy("slice").count().collect()]
+    assert len(sizes) == slices and max(sizes) <= 2 * n / slices
 
 
 @pytest.mark.parametrize("rows_per_task", [2, skew.ROWS_PER_TASK])
