@@ -48,10 +48,8 @@ recent AS (SELECT * FROM ev WHERE event_date >= DATE '2024-01-31' - 15)
 
 FLOWS = """
   COUNT(*) AS {count},
-  CAST(SUM(CASE WHEN amount_usd > 0 THEN amount_usd ELSE 0 END) AS DECIMAL(18,2))
-    AS total_deposited,
-  CAST(SUM(CASE WHEN amount_usd < 0 THEN ABS(amount_usd) ELSE 0 END) AS DECIMAL(18,2))
-    AS total_withdrawn,
+  CAST(COALESCE(SUM(amount_usd) FILTER (amount_usd > 0), 0) AS DECIMAL(18,2)) AS total_deposited,
+  CAST(COALESCE(-SUM(amount_usd) FILTER (amount_usd < 0), 0) AS DECIMAL(18,2)) AS total_withdrawn,
   CAST(SUM(round_up) AS DECIMAL(18,2)) AS total_round_ups,
   CAST(SUM(amount_usd) AS DECIMAL(18,2)) AS {net}
 """
@@ -118,9 +116,9 @@ cohort AS (
          {rate("silent_churners", "total_users", 1)} AS silent_churn_rate_pct
   FROM counted),
 stacked AS (
-  SELECT cohort_month, 'Churned' AS status, churned_users AS users, churn_rate_pct FROM cohort
-  UNION ALL
-  SELECT cohort_month, 'Retained', retained_users, churn_rate_pct FROM cohort),
+  UNPIVOT (SELECT cohort_month, churn_rate_pct, churned_users AS "Churned",
+                  retained_users AS "Retained" FROM cohort)
+  ON "Churned", "Retained" INTO NAME status VALUE users),
 flows AS (
   SELECT CAST(DATE_TRUNC('month', transaction_date) AS DATE) AS transaction_month,
          product, transaction_type, {FLOWS.format(count="transaction_count", net="net_flow")}

@@ -3,11 +3,11 @@
 Aggregates need no help here, since Spark combines them before the shuffle. Operators that must
 bring the *rows* of a user together (windows, fact-level joins) treat hot users apart:
 
-* a key is hot when it has more than ``rows_per_task`` rows, so there are at most
-  ``rows / rows_per_task`` hot keys however the data is distributed. At one million that is a million
-  keys (some 16 MB) for 10^12 rows, which can be broadcast;
+* a key is hot when it has more than ``rows_per_task`` rows and more than one in ``MAX_HOT_KEYS``
+  of all rows. However the data grows or is distributed, no more than ``MAX_HOT_KEYS`` keys can
+  have that many, so a table with a row per hot key stays at some tens of MB and is broadcast;
 * rows of hot keys are joined to broadcast data and never shuffled by their key;
-* rows of all other keys are shuffled by key, at most ``rows_per_task`` of them per key.
+* rows of all other keys are shuffled by key.
 
 Without hot keys the broadcast is empty and adaptive execution drops the hot branch unread.
 """
@@ -18,12 +18,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 ROWS_PER_TASK = 1_000_000
+MAX_HOT_KEYS = 1_000_000
 
 
 def hot_keys(facts: DataFrame, key: str, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
-    """Keys with more than ``rows_per_task`` rows: a count of the key column alone."""
+    """Keys with too many rows for one task: a count of the key column alone.
+
+    The total that bounds their number is added up from the same counts, so the shuffle behind
+    them is shared.
+    """
     counts = facts.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    return counts.where(F.col("n") > rows_per_task).select(key)
+    share = counts.agg(F.sum("n") / MAX_HOT_KEYS).scalar()
+    return counts.where((F.col("n") > rows_per_task) & (F.col("n") > share)).select(key)
 
 
 def without_hot(facts: DataFrame, hot: DataFrame, key: str) -> DataFrame:

@@ -52,5 +52,5 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def run_folder(spark: SparkSession, purpose: str) -> str:
-    """A new, not yet existing path below the shared folder."""
+    """A new, not yet existing path below the shared folder. Removing it is up to the caller."""
     return os.path.join(shared_folder(spark), f"stayrate-{purpose}-{uuid.uuid4().hex}")

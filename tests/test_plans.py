@@ -22,7 +22,7 @@ def final_plan(df):
     """The plan after adaptive execution."""
     query = df._jdf.queryExecution()
     query.executedPlan().executeCollect()
-    return query.executedPlan().toString().split("== Initial Plan ==")[0]
+    return query.executedPlan().toString().split("\n+- == Initial Plan ==")[0]
 
 
 def scans(text, table):
@@ -88,10 +88,22 @@ def test_hot_facts_are_not_shuffled(spark, tables):
     events = star.read_star(spark, SF, "events").select("event_id", "user_id")
     users = tables.users.select("user_id", "account_type")
     text = final_plan(skew.attach(events, users, "user_id", rows_per_task=1))
-    assert "SortMergeJoin" not in text
-    for line in text.splitlines():
-        if "Exchange hashpartitioning(user_id" in line:
-            assert "event_id" not in line
+    assert "SortMergeJoin" not in text and "LeftSemi, BuildRight" in text
+    shuffled = re.findall(r"Exchange hashpartitioning\(user_id.*\n.*", text)
+    assert shuffled and not any("event_id" in x for x in shuffled)
+
+
+def test_hot_keys_count_once(spark):
+    """The threshold's total comes from the shuffle the counts come from."""
+    events = star.read_star(spark, SF, "events")
+    text = final_plan(skew.hot_keys(events, "user_id", 1))
+    assert text.count("ColumnarToRow") == 1 and "ReusedExchange" in text
+
+
+def test_hot_keys_are_bounded(spark, monkeypatch):
+    events = star.read_star(spark, SF, "events")
+    monkeypatch.setattr(skew, "MAX_HOT_KEYS", 10)
+    assert 0 < skew.hot_keys(events, "user_id", 1).count() <= 10
 
 
 def test_paths_shuffle_users_once(tables):
