@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from stayrate.functions import churn
 from stayrate.functions.calendar import date_of, month_start
-from stayrate.functions.numbers import safe_rate, sum_money
+from stayrate.functions.numbers import cents, safe_rate, sum_cents, sum_money
 
 
 def churn_cohort(summary: DataFrame) -> DataFrame:
@@ -59,14 +59,14 @@ def cohort_at(cohort: DataFrame, *months) -> DataFrame:
 
 def transaction_summary(transactions: DataFrame) -> DataFrame:
     """Per month, product and type: count, deposited, withdrawn, round-ups and net flow."""
-    amount = F.col("amount_usd")
+    amount = cents(F.col("amount_usd"))
     month = month_start(F.col("transaction_date")).alias("transaction_month")
     return transactions.groupBy(month, "product", "transaction_type").agg(
         F.count(F.lit(1)).alias("transaction_count"),
-        sum_money(churn.deposited(amount)).alias("total_deposited"),
-        sum_money(churn.withdrawn(amount)).alias("total_withdrawn"),
+        sum_cents(churn.deposited(amount)).alias("total_deposited"),
+        sum_cents(churn.withdrawn(amount)).alias("total_withdrawn"),
         sum_money(F.col("round_up")).alias("total_round_ups"),
-        sum_money(amount).alias("net_flow"),
+        sum_cents(amount).alias("net_flow"),
     )
 
 

@@ -6,18 +6,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stayrate.functions import churn
-from stayrate.functions.numbers import MONEY, mean, sum_money
+from stayrate.functions.numbers import MONEY, cents, mean, sum_cents, sum_money
 
 
 def tx_rollup(transactions: DataFrame) -> DataFrame:
     """Per user: counts, flows and date range. ``running_balance`` is the plain total."""
-    amount = F.col("amount_usd")
+    amount = cents(F.col("amount_usd"))
     return transactions.groupBy("user_id").agg(
         F.count(F.lit(1)).alias("total_transactions"),
-        sum_money(churn.deposited(amount)).alias("total_deposited"),
-        sum_money(churn.withdrawn(amount)).alias("total_withdrawn"),
+        sum_cents(churn.deposited(amount)).alias("total_deposited"),
+        sum_cents(churn.withdrawn(amount)).alias("total_withdrawn"),
         sum_money(F.col("round_up")).alias("total_round_ups"),
-        sum_money(amount).alias("running_balance"),
+        sum_cents(amount).alias("running_balance"),
         F.min("transaction_date").alias("first_transaction_date"),
         F.max("transaction_date").alias("last_transaction_date"),
     )

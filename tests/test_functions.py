@@ -116,3 +116,15 @@ def test_activity_window(spark):
     assert window("2026-01-01", 10.5) == ("2026-01-11", 10)  # ties to even
     assert window("2026-01-01", 400.0) == ("2026-05-05", 124)
     assert window("2026-05-05", 30.0) == ("2026-05-05", 1)
+
+
+def test_money_sums_are_exact(spark):
+    amounts = ["0.10"] * 3 + ["-0.05", "9999999999999999.99", None]
+    df = spark.createDataFrame([(a,) for a in amounts], "a string").select(
+        F.col("a").cast("decimal(18,2)").alias("a")
+    )
+    with pytest.raises(Exception, match="NUMERIC_VALUE_OUT_OF_RANGE"):
+        df.agg(numbers.sum_money(F.col("a")).alias("x")).first()
+    small = df.where("a < 1")
+    assert small.agg(numbers.sum_money(F.col("a")).alias("x")).first().x == Decimal("0.25")
+    assert df.where("a IS NULL").agg(numbers.sum_money(F.col("a")).alias("x")).first().x is None
