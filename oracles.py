@@ -40,7 +40,7 @@ ev AS (
               ELSE CASE WHEN event_type = 'error' AND value > 200 THEN 'Cancel_Account'
                         ELSE 'View_Statement' END END AS event_type,
          CASE event_id % 3 WHEN 0 THEN 'iOS' WHEN 1 THEN 'Android' ELSE 'Web' END AS platform,
-         CAST(value AS DECIMAL(12,2)) AS session_duration_sec
+         CAST(value AS DECIMAL(8,2)) AS session_duration_sec
   FROM events),
 starters AS (SELECT user_id, MIN(event_date) AS signup_date FROM ev GROUP BY user_id),
 recent AS (SELECT * FROM ev WHERE event_date >= DATE '2024-01-31' - 15)
@@ -249,7 +249,7 @@ cancels AS (
          last_transaction_date AS event_date,
          CAST(last_transaction_date AS TIMESTAMP) AS event_ts, 'Cancel_Account' AS event_type,
          CASE position % 3 WHEN 0 THEN 'iOS' WHEN 1 THEN 'Android' ELSE 'Web' END AS platform,
-         CAST(10 + position % 110 AS DECIMAL(12,2)) AS session_duration_sec
+         CAST(10 + position % 110 AS DECIMAL(8,2)) AS session_duration_sec
   FROM chosen)
 """
 

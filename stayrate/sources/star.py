@@ -114,7 +114,7 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         "ts AS Event_Ts",
         f"{_map(EVENT_TYPES, 'event_type', error)} AS Event_Type",
         f"{_pick(PLATFORMS, 'event_id')} AS Platform",
-        "cast(value AS decimal(12,2)) AS Session_Duration_Sec",
+        "cast(value AS decimal(8,2)) AS Session_Duration_Sec",
     )
 
 
