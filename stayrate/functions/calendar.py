@@ -41,12 +41,6 @@ def periods_between(start: Column, end: Column, grain: str) -> Column:
     return days if grain == "day" else F.call_function("div", days, F.lit(7)).cast("int")
 
 
-def add_periods(start: Column, n: Column, grain: str) -> Column:
-    if grain == "month":
-        return F.add_months(start, n)
-    return F.date_add(start, n if grain == "day" else n * 7)
-
-
 def epoch_millis(ts: Column) -> Column:
     """Milliseconds since 1970-01-01, reading the zone-less timestamp as UTC.
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from stayrate.functions.calendar import add_periods, date_of, period_start, periods_between
+from stayrate.functions.calendar import date_of, period_start, periods_between
 from stayrate.functions.numbers import safe_rate, safe_ratio
 
 
