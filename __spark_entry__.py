@@ -30,6 +30,12 @@ from stayrate.plans.marts import build_marts, marts_only  # noqa: E402
 from stayrate.session import run_folder  # noqa: E402
 from stayrate.sources import sinks, star  # noqa: E402
 
+try:  # these files can be taken out; everything else works without them
+    import corpus_pipeline
+    from stayrate.llm import queries as corpus
+except ImportError:
+    corpus = corpus_pipeline = None
+
 TX_AS_OF = oracles.TX_AS_OF
 EV_AS_OF = oracles.EV_AS_OF
 DAY = dt.timedelta(days=1)
@@ -285,8 +291,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def registered(build):
         return lambda spark, sf_dir: _shown(build(Tables(spark, sf_dir)))
 
-    return {name: registered(build) for name, build in _QUERIES.items()}
+    found = {name: registered(build) for name, build in _QUERIES.items()}
+    if corpus:
+        found |= corpus.QUERIES | {"pipeline": corpus_pipeline.run}
+    return found
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracles.oracle_sql()
+    return oracles.oracle_sql() | (corpus.ORACLE_SQL if corpus else {})
