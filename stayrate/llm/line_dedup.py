@@ -17,15 +17,16 @@ from pyspark.sql import functions as F
 from stayrate.llm.common import staged, text_of
 from stayrate.llm.components import components
 
-#: Letters whose counts are compared, with bits for each count.
-LETTERS, BITS = "etaonirs", 7
+#: Letters whose counts are compared in the join, with bits for each count, and the parts of a line
+#: that are looked for in the other before a pair is verified.
+LETTERS, BITS, CHUNKS = "dlugcm", 8, 12
 MASK = (1 << BITS) - 1
 
 
 def lines_of(docs: DataFrame, id_col: str, text_col: str, least_chars: int) -> DataFrame:
     """(doc, number, line, id) of every line long enough to be compared.
 
-    A line's id is its hash with its letter counts.
+    A line's id is its hash with its length in bytes.
     """
     text = text_of(text_col)
     doc = F.struct(
@@ -33,12 +34,17 @@ def lines_of(docs: DataFrame, id_col: str, text_col: str, least_chars: int) -> D
     )
     rows = docs.select(doc.alias("doc"), F.posexplode(F.split(text, "\n", -1)).alias("number", "line"))
     rows = rows.where(F.length("line") >= least_chars)
+    line_id = F.struct(F.xxhash64("line").alias("h"), F.octet_length("line").alias("size"))
+    return rows.withColumn("id", line_id)
+
+
+def _letter_counts() -> Column:
+    """Counts of some letters of a line, packed into one long."""
     counts = F.lit(0).cast("long")
     for place, letter in enumerate(LETTERS):
         n = F.octet_length("line") - F.octet_length(F.replace("line", F.lit(letter)))
         counts = counts.bitwiseOR(F.shiftleft(n.bitwiseAND(F.lit(MASK)).cast("long"), BITS * place))
-    line_id = F.struct(F.xxhash64("line").alias("h"), counts.alias("counts"))
-    return rows.withColumn("id", line_id)
+    return counts
 
 
 def _bounds(length: Column, segment: int, edits: int) -> tuple[Column, Column]:
@@ -91,15 +97,33 @@ def _letters_allow(a: Column, b: Column, edits: int) -> Column:
 
 def candidate_pairs(lines: DataFrame, edits: int) -> DataFrame:
     """Pairs (a, b) of line ids that share a segment where it may stand, a < b."""
-    listed = lines.select(F.col("id").alias("a"), F.explode(segment_keys(edits)).alias("key"))
-    probes = lines.select(F.col("id").alias("b"), F.explode(probe_keys(edits)).alias("key"))
+    counted = lines.withColumn("counts", _letter_counts())
+    listed = counted.select(
+        F.col("id").alias("a"), F.col("counts").alias("n"), F.explode(segment_keys(edits)).alias("key")
+    )
+    probes = counted.select(
+        F.col("id").alias("b"), F.col("counts").alias("m"), F.explode(probe_keys(edits)).alias("key")
+    )
     listed, probes = listed.distinct(), probes.where("key IS NOT NULL").distinct()
-    differ = (F.col("a.h") != F.col("b.h")) | (F.col("a.counts") != F.col("b.counts"))
-    near = _letters_allow(F.col("a.counts"), F.col("b.counts"), edits)
+    differ = (F.col("a.h") != F.col("b.h")) | (F.col("a.size") != F.col("b.size"))
+    near = _letters_allow(F.col("n"), F.col("m"), edits)
     found = listed.join(probes, (listed["key"] == probes["key"]) & differ & near)
     return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
+def _chunks_found(a: str, b: str, edits: int) -> Column:
+    """Whether all parts of ``a`` but one per edit stand in ``b``, at most ``edits`` places away."""
+    n, missing = F.length(F.col(a)), F.lit(0)
+    for c in range(CHUNKS):
+        start = F.floor(n * c / CHUNKS).cast("int")
+        size = F.floor(n * (c + 1) / CHUNKS).cast("int") - start
+        low = F.greatest(start - edits, F.lit(0))
+        around = F.substr(F.col(b), low + 1, start - low + size + edits)
+        found = F.contains(around, F.substr(F.col(a), start + 1, size))
+        missing = missing + F.when(found, 0).otherwise(1)
+    return missing <= edits
+
+
 def within(a: str, b: str, edits: int) -> Column:
     """Whether two strings are within ``edits`` edits: a bit-parallel automaton over the band.
 
@@ -148,7 +172,8 @@ def close_pairs(lines: DataFrame, edits: int) -> DataFrame:
     both = pairs.join(texts.select(F.col("id").alias("a"), F.col("line").alias("x")), "a").join(
         texts.select(F.col("id").alias("b"), F.col("line").alias("y")), "b"
     )
-    chars = both.withColumns({"x_chars": F.split("x", ""), "y_chars": F.split("y", "")})
+    likely = both.where(_chunks_found("x", "y", edits))
+    chars = likely.withColumns({"x_chars": F.split("x", ""), "y_chars": F.split("y", "")})
     return chars.where(within("x", "y", edits)).select("a", "b")
 
 
