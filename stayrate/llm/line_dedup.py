@@ -19,7 +19,7 @@ from stayrate.llm.components import components
 
 #: Letters whose counts are compared in the join, with bits for each count, and the parts of a line
 #: that are looked for in the other before a pair is verified.
-LETTERS, BITS, CHUNKS = "dlugcm", 8, 12
+LETTERS, BITS, CHUNKS = "etaonirs", 7, 12
 MASK = (1 << BITS) - 1
 
 
@@ -168,13 +168,17 @@ def close_pairs(lines: DataFrame, edits: int) -> DataFrame:
     pairs = staged(candidate_pairs(lines, edits), "pairs")
     wanted = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id")))
     texts = lines.select("id", "line").join(wanted.distinct(), "id", "left_semi")
-    texts = staged(texts.groupBy("id").agg(F.min("line").alias("line")), "lines")
-    both = pairs.join(texts.select(F.col("id").alias("a"), F.col("line").alias("x")), "a").join(
-        texts.select(F.col("id").alias("b"), F.col("line").alias("y")), "b"
+    texts = texts.groupBy("id").agg(F.min("line").alias("line"))
+    # Written out, else the characters would be split anew at every step of the automaton.
+    texts = staged(texts.withColumn("chars", F.split("line", "")), "lines")
+    x, y = (
+        texts.select(
+            F.col("id").alias(end), F.col("line").alias(name), F.col("chars").alias(f"{name}_chars")
+        )
+        for end, name in (("a", "x"), ("b", "y"))
     )
-    likely = both.where(_chunks_found("x", "y", edits))
-    chars = likely.withColumns({"x_chars": F.split("x", ""), "y_chars": F.split("y", "")})
-    return chars.where(within("x", "y", edits)).select("a", "b")
+    likely = pairs.join(x, "a").join(y, "b").where(_chunks_found("x", "y", edits))
+    return likely.where(within("x", "y", edits)).select("a", "b")
 
 
 def line_classes(
