@@ -20,7 +20,6 @@ from pyspark.sql import functions as F  # noqa: E402
 from pyspark.sql import types as T  # noqa: E402
 
 import oracles  # noqa: E402
-from stayrate.functions.numbers import money  # noqa: E402
 from stayrate.functions.transactions import round_up, signed_amount  # noqa: E402
 from stayrate.operators import cancellations as cancel  # noqa: E402
 from stayrate.operators import cohorts, funnel, numbering, paths, payload, quality  # noqa: E402
@@ -93,16 +92,13 @@ class Tables:
 
 
 def _typed_amounts(t: Tables) -> DataFrame:
-    """The sign and round-up rules on the unsigned order price."""
-    price = star.read_star(t.spark, t.sf_dir, "orders").select(
-        F.col("o_orderkey").alias("transaction_id"), money(F.col("o_totalprice")).alias("price")
-    )
-    kind = F.col("transaction_type")
-    return t.tx.join(price, "transaction_id").select(
+    """The sign and round-up rules on the unsigned order price, in the one scan of the orders."""
+    kind, price = F.col("transaction_type"), F.abs("amount_usd")
+    return t.tx.select(
         "transaction_id",
         "transaction_type",
-        signed_amount(kind, F.col("price")).alias("amount_usd"),
-        round_up(kind, F.col("price")).alias("round_up"),
+        signed_amount(kind, price).alias("amount_usd"),
+        round_up(kind, price).alias("round_up"),
     )
 
 
@@ -151,6 +147,18 @@ def _wrong_rates(t: Tables) -> DataFrame:
     return quality.check_churn_rate(wrong)
 
 
+def _wrong_labels(t: Tables) -> DataFrame:
+    """The summary with deliberately wrong stored labels, so that the checks have something to find."""
+    label = F.col("churn_type")
+    wrong = (
+        F.when(F.col("user_id") % 7 == 0, "Explicit")
+        .when(F.col("user_id") % 7 == 1, "Silent")
+        .when(F.col("user_id") % 7 == 2, "Active")
+        .otherwise(label)
+    )
+    return t.summary.withColumn("churn_type", wrong)
+
+
 _QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     # staging
     "staged_users": lambda t: t.users,
@@ -226,7 +234,7 @@ _QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "active_share": lambda t: ret.active_share(t.events, t.starters, "day"),
     "paths_to_withdrawal": lambda t: paths.paths_to(t.events, ["Withdrawal"], 3),
     "paths_to_cancel": lambda t: paths.paths_to(t.events, ["Cancel_Account"], 2),
-    "inactive_users": lambda t: triggers.inactive_users(t.events, t.users, EV_AS_OF, 3),
+    "inactive_users": lambda t: triggers.inactive_users(t.events, t.users, "2024-01-20", 3),
     "stalled_at": lambda t: triggers.stalled_at(
         t.events, "View_Portfolio", "Deposit", EV_AS_OF, 48
     ),
@@ -238,9 +246,9 @@ _QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     ),
     "check_not_null": lambda t: quality.check_not_null(t.summary, ("user_id", "last_event_date")),
     "explicit_without_cancel": lambda t: quality.explicit_without_cancel(
-        t.summary, t.recent_events
+        _wrong_labels(t), t.events
     ).select("user_id", "churn_type"),
-    "check_churn_type": lambda t: quality.check_churn_type(t.summary, t.recent_events, 180),
+    "check_churn_type": lambda t: quality.check_churn_type(_wrong_labels(t), t.events),
     "check_churn_rate": _wrong_rates,
     "check_orphans": lambda t: quality.check_orphans(t.tx, t.starters),
     "check_domain": lambda t: quality.check_domain(
@@ -258,15 +266,11 @@ _QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "quality_report": lambda t: quality.quality_report(t.built()),
     # rules and cancellations
     "typed_amounts": _typed_amounts,
-    "activity_window": lambda t: cancel.activity_window(
-        t.users, star.lifespans(t.spark, t.sf_dir), TX_AS_OF
-    ),
     "churn_candidates": lambda t: cancel.churn_candidates(t.tx, TX_AS_OF),
     "sampled_candidates": lambda t: t.chosen,
-    "cancel_events": lambda t: cancel.cancel_events(t.chosen, t.events),
-    "append_events": lambda t: segments.value_counts(
-        staging.append_events(t.events, cancel.cancel_events(t.chosen, t.events)), "event_type"
-    ),
+    "append_events": lambda t: staging.append_events(
+        t.events.where("event_date < '2024-01-15'"), t.events.where("event_date >= '2024-01-15'")
+    ).select("event_id", "user_id", "event_type", "event_date"),
     # payloads
     "identify_payload": _flat_identify,
     "event_payload": _flat_events,

@@ -134,7 +134,6 @@ DECIMALS = {
     "check_amount_rules": _TX,
     "typed_amounts": _TX,
     "staged_events": "session_duration_sec",
-    "cancel_events": "session_duration_sec",
     "tx_rollup": f"{_SUMS} running_balance",
     "user_summary": f"{_SUMS} running_balance",
     "user_profile": f"{_SUMS} running_balance",
@@ -243,14 +242,7 @@ chosen AS (
   SELECT * FROM (
     SELECT *, ROW_NUMBER() OVER (ORDER BY LEFT(MD5(CONCAT(CAST(user_id AS VARCHAR), 'cancel')), 15), user_id)
                 AS position FROM candidates)
-  WHERE position <= (SELECT GREATEST(1, FLOOR(COUNT(*) * 0.3::DOUBLE)) FROM candidates)),
-cancels AS (
-  SELECT (SELECT MAX(event_id) FROM ev) + position AS event_id, user_id,
-         last_transaction_date AS event_date,
-         CAST(last_transaction_date AS TIMESTAMP) AS event_ts, 'Cancel_Account' AS event_type,
-         CASE position % 3 WHEN 0 THEN 'iOS' WHEN 1 THEN 'Android' ELSE 'Web' END AS platform,
-         CAST(10 + position % 110 AS DECIMAL(8,2)) AS session_duration_sec
-  FROM chosen)
+  WHERE position <= (SELECT GREATEST(1, FLOOR(COUNT(*) * 0.3::DOUBLE)) FROM candidates))
 """
 
 EVENT_PAYLOAD = """
@@ -280,7 +272,11 @@ NOT_NULL_SQL = {
 }
 
 
-def churn_type_issues(cancels: str, days: int) -> str:
+WRONG_LABELS = """(SELECT * REPLACE (CASE user_id % 7 WHEN 0 THEN 'Explicit' WHEN 1 THEN 'Silent'
+  WHEN 2 THEN 'Active' ELSE churn_type END AS churn_type) FROM summary)"""
+
+
+def churn_type_issues(cancels: str, days: int, summary: str = "summary") -> str:
     return f"""
 SELECT * FROM (
   SELECT user_id, churn_type, churned, days_since_last_transaction,
@@ -290,7 +286,7 @@ SELECT * FROM (
               WHEN churn_type = 'Silent' AND days_since_last_transaction <= {days}
               THEN 'silent_too_recent'
               WHEN churn_type = 'Active' AND churned = 1 THEN 'active_marked_churned' END AS issue
-  FROM summary) WHERE issue IS NOT NULL"""
+  FROM {summary}) WHERE issue IS NOT NULL"""
 
 
 def full_batches(table: str, key: str, size: int) -> str:
@@ -442,12 +438,12 @@ SELECT period_start, active_users, users_so_far,
         "paths_to_withdrawal": paths("Withdrawal", 3),
         "paths_to_cancel": paths("Cancel_Account", 2),
         "inactive_users": f"""
-SELECT user_id, last_event_date, CAST(DATE '{EV_AS_OF}' - last_event_date AS INTEGER)
+SELECT user_id, last_event_date, CAST(DATE '2024-01-20' - last_event_date AS INTEGER)
          AS days_inactive,
        CASE WHEN last_event_date IS NULL THEN 'never' ELSE 'lapsed' END AS status
-FROM us LEFT JOIN (SELECT user_id, MAX(event_date) AS last_event_date FROM ev {logins}
+FROM us LEFT JOIN (SELECT user_id, MAX(event_date) AS last_event_date FROM ev {logins} AND event_date <= DATE '2024-01-20'
                    GROUP BY user_id) USING (user_id)
-WHERE last_event_date IS NULL OR DATE '{EV_AS_OF}' - last_event_date > 3""",
+WHERE last_event_date IS NULL OR DATE '2024-01-20' - last_event_date > 3""",
         "stalled_at": f"""
 SELECT user_id, f AS stalled_since,
        (EPOCH_US(TIMESTAMP '{EV_AS_OF}') // 1000 - EPOCH_US(f) // 1000) // 3600000 AS hours_stalled
@@ -466,10 +462,10 @@ WHERE rn = 1""",
         "check_not_null": """
 SELECT 'last_event_date' AS column_name, COUNT(*) AS nulls FROM summary
 WHERE last_event_date IS NULL HAVING COUNT(*) > 0""",
-        "explicit_without_cancel": """
-SELECT user_id, churn_type FROM summary WHERE churn_type = 'Explicit' AND user_id NOT IN
-  (SELECT user_id FROM recent WHERE event_type = 'Cancel_Account')""",
-        "check_churn_type": churn_type_issues("recent", 180),
+        "explicit_without_cancel": f"""
+SELECT user_id, churn_type FROM {WRONG_LABELS} WHERE churn_type = 'Explicit' AND user_id NOT IN
+  (SELECT user_id FROM ev WHERE event_type = 'Cancel_Account')""",
+        "check_churn_type": churn_type_issues("ev", 90, WRONG_LABELS),
         "check_churn_rate": f"""
 SELECT cohort_month, total_users, churned_users, explicit_churn_rate_pct AS churn_rate_pct,
        {expected} AS expected_churn_rate_pct FROM cohort
@@ -503,19 +499,9 @@ SELECT * FROM (
   FROM tx) WHERE issue IS NOT NULL""",
         "quality_report": quality_report(),
         "typed_amounts": "SELECT transaction_id, transaction_type, amount_usd, round_up FROM tx",
-        "activity_window": f"""
-SELECT user_id, signup_date, activity_end,
-       GREATEST(CAST(activity_end - signup_date AS INTEGER), 1) AS activity_days FROM (
-  SELECT user_id, signup_date,
-         LEAST(signup_date + CAST(ROUND_EVEN(ABS(c_acctbal), 0) AS INTEGER), DATE '{TX_AS_OF}')
-           AS activity_end
-  FROM us JOIN customer ON c_custkey = user_id)""",
         "churn_candidates": f"WITH_STAGED, {CANDIDATES} SELECT * FROM candidates",
         "sampled_candidates": f"WITH_STAGED, {CANDIDATES} SELECT * FROM chosen",
-        "cancel_events": f"WITH_STAGED, {CANDIDATES} SELECT * FROM cancels",
-        "append_events": f"""WITH_STAGED, {CANDIDATES}
-SELECT event_type, COUNT(*) AS n_rows
-FROM (SELECT event_type FROM ev UNION ALL SELECT event_type FROM cancels) GROUP BY event_type""",
+        "append_events": "SELECT event_id, user_id, event_type, event_date FROM ev",
         "identify_payload": """
 SELECT *, CAST(TO_JSON({'user_id': user_id, 'user_properties': {'$set': {
          'signup_date': signup_date, 'acquisition_channel': acquisition_channel,

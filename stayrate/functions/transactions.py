@@ -20,12 +20,3 @@ def round_up(transaction_type: Column, amount: Column) -> Column:
     """Spare change to the next whole dollar on Round-Up rows, else 0."""
     amount = money(amount)
     return money(F.when(transaction_type == ROUND_UP, F.ceil(amount) - amount).otherwise(0))
-
-
-def activity_end(signup: Column, lifespan_days: Column, as_of) -> Column:
-    """Signup plus the lifespan in whole days (ties to even), but not after ``as_of``."""
-    return F.least(F.date_add(signup, F.rint(lifespan_days).cast("int")), date_of(as_of))
-
-
-def activity_days(signup: Column, end: Column) -> Column:
-    return F.greatest(F.datediff(end, signup), F.lit(1))

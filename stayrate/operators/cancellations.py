@@ -1,4 +1,4 @@
-"""Users about to be lost, samples of them, and cancellation events made for them."""
+"""Users about to be lost."""
 
 from __future__ import annotations
 
@@ -6,13 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stayrate.functions.calendar import date_of
-from stayrate.functions.churn import CANCEL_EVENT, INACTIVE_DAYS
-from stayrate.functions.transactions import activity_days, activity_end
+from stayrate.functions.churn import INACTIVE_DAYS
 from stayrate.operators.rollups import last_transaction
 
-PLATFORMS = ("iOS", "Android", "Web")
-
-
 def churn_candidates(
     transactions: DataFrame, as_of, inactive_days: int = INACTIVE_DAYS
 ) -> DataFrame:
@@ -22,34 +18,3 @@ def churn_candidates(
     return last_transaction(transactions.where(F.col("user_id").isNotNull())).where(
         F.col("last_transaction_date") < cutoff
     )
-
-
-def cancel_events(chosen: DataFrame, events: DataFrame) -> DataFrame:
-    """One cancellation per chosen user on the day of the last transaction.
-
-    ``chosen`` is a numbered sample of candidates; ids continue after the largest event id.
-    Platform and session length (10 to 119 seconds) follow from the number.
-    """
-    number = F.col("position")
-    platforms = F.array(*[F.lit(p) for p in PLATFORMS])
-    last_id = events.agg(F.coalesce(F.max("event_id"), F.lit(0))).scalar()
-    session_type = events.schema["session_duration_sec"].dataType
-    return chosen.select(
-        (last_id + number).alias("event_id"),
-        "user_id",
-        F.col("last_transaction_date").alias("event_date"),
-        F.col("last_transaction_date").cast("timestamp_ntz").alias("event_ts"),
-        F.lit(CANCEL_EVENT).alias("event_type"),
-        F.element_at(platforms, (number % 3).cast("int") + 1).alias("platform"),
-        (F.lit(10) + number % 110).cast(session_type).alias("session_duration_sec"),
-    )
-
-
-def activity_window(users: DataFrame, lifespans: DataFrame, as_of) -> DataFrame:
-    """Per user the end and the length in days (at least 1) of the activity after signup."""
-    end = activity_end(F.col("signup_date"), F.col("lifespan_days"), as_of)
-    return (
-        users.join(lifespans, "user_id")
-        .select("user_id", "signup_date", end.alias("activity_end"))
-        .withColumn("activity_days", activity_days(F.col("signup_date"), F.col("activity_end")))
-    )

@@ -64,7 +64,8 @@ def step_times(
     kinds = list(dict.fromkeys(kind for kind, _ in steps))
     # Numbers instead of type names keep the shuffled rows short.
     number = F.array_position(F.array(*[F.lit(k) for k in kinds]), F.col("event_type"))
-    relevant = events.where(F.col("event_type").isin(kinds)).select(
+    timed = F.col("event_ts").isNotNull()  # before the split, so that both branches agree
+    relevant = events.where(F.col("event_type").isin(kinds) & timed).select(
         "user_id", "event_ts", number.cast("int").alias("kind")
     )
     numbered = [(kinds.index(kind) + 1, after) for kind, after in steps]

@@ -3,7 +3,7 @@
 Rows are ordered by a 60-bit hash of their key, which spreads any key evenly, and then by the
 key. The first bits of the hash make the buckets; the rows before each bucket are added up over
 one row per bucket (at most 16^digits, whatever the data), and rows are numbered inside their
-bucket in parallel. Keys must be unique.
+bucket in parallel. Keys must be unique; rows without a key are placed by a hash of the whole row.
 """
 
 from __future__ import annotations
@@ -22,11 +22,12 @@ def _md5_bits(key: Column, seed: str) -> Column:
     return F.conv(F.substring(md5, 1, 15), 16, 10).cast("bigint")
 
 
-def _fast_bits(key: Column) -> Column:
-    return F.xxhash64(key).bitwiseAND(F.lit((1 << HASH_BITS) - 1))
+def _fast_bits(*columns: str) -> Column:
+    return F.xxhash64(*columns).bitwiseAND(F.lit((1 << HASH_BITS) - 1))
 
 
-def _hashed(df: DataFrame, bits: Column, digits: int) -> DataFrame:
+def _hashed(df: DataFrame, key: str, bits: Column, digits: int) -> DataFrame:
+    bits = F.when(F.col(key).isNull(), _fast_bits(*df.columns)).otherwise(bits)
     bucket = F.shiftright("_hash", HASH_BITS - 4 * digits).cast("int")
     return df.withColumn("_hash", bits).withColumn("_bucket", bucket)
 
@@ -54,7 +55,7 @@ def with_position(
     df: DataFrame, key: str, name: str = "position", digits: int = DIGITS
 ) -> DataFrame:
     """Adds the row's number 1 … n in hash order."""
-    hashed = _hashed(df, _fast_bits(F.col(key)), digits)
+    hashed = _hashed(df, key, _fast_bits(key), digits)
     placed = hashed.join(F.broadcast(_offsets(hashed)), "_bucket")
     return _numbered(placed, key, name).select(*df.columns, name)
 
@@ -72,7 +73,7 @@ def sample_fraction(
     The sample is the first rows in the order of the seeded MD5, hence repeatable here and
     elsewhere. Buckets behind the last chosen row are dropped before the shuffle.
     """
-    hashed = _hashed(df, _md5_bits(F.col(key), seed), digits)
+    hashed = _hashed(df, key, _md5_bits(F.col(key), seed), digits)
     wanted = F.greatest(F.floor(F.col("_total") * F.lit(float(fraction))), F.lit(1))
     placed = hashed.join(F.broadcast(_offsets(hashed)), "_bucket").where(
         F.col("_before") < wanted

@@ -22,14 +22,13 @@ from stayrate.operators.skew import ROWS_PER_TASK, hot_keys, only_hot, without_h
 FACT = ("user_id", "event_id", "event_ts", "event_type")
 
 
-def _sliced(events: DataFrame) -> DataFrame:
+def _sliced(events: DataFrame, slices: int) -> DataFrame:
     """Rows with the number of the range partition they sort into.
 
     The ranges are balanced over (user, time, id), so neither a burst nor many events on one
-    date makes a large slice. Their number is the session's number of shuffle partitions.
+    date makes a large slice. Their number follows from the rows, so none exceeds what a task may hold.
     """
-    ranges = int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = events.repartitionByRange(ranges, "user_id", "event_ts", "event_id")
+    ranged = events.repartitionByRange(slices, "user_id", "event_ts", "event_id")
     return ranged.withColumn("slice", F.spark_partition_id())
 
 
@@ -57,7 +56,9 @@ def _ends_by_user(
     regular = _with_previous(without_hot(events, hot, "user_id"), depth, "user_id")
     regular = regular.where(is_target).select("user_id", "event_id", "path")
 
-    inner = _with_previous(_sliced(only_hot(events, hot, "user_id")), depth, "user_id", "slice")
+    of_hot = only_hot(events, hot, "user_id")
+    slices = max(1, -(-of_hot.count() // rows_per_task))
+    inner = _with_previous(_sliced(of_hot, slices), depth, "user_id", "slice")
     is_edge = F.col("in_head") | F.col("in_tail")
     # All edges of a user share one window; finished targets ride along in their own slice.
     kept = inner.where(is_edge | is_target).select(

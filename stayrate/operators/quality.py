@@ -13,7 +13,6 @@ from stayrate.functions.numbers import safe_rate
 from stayrate.functions.transactions import ROUND_UP, WITHDRAWAL
 from stayrate.operators.rollups import cancelled_users
 from stayrate.operators.segments import facts_with
-from stayrate.operators.skew import ROWS_PER_TASK
 
 # The closed sets of values in the raw tables.
 DOMAINS = {
@@ -129,11 +128,9 @@ def check_domain(df: DataFrame, column: str, allowed: Sequence[str]) -> DataFram
     return outside.groupBy(F.col(column).alias("value")).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
-def check_product_matches_account(
-    transactions: DataFrame, users: DataFrame, rows_per_task: int = ROWS_PER_TASK
-) -> DataFrame:
+def check_product_matches_account(transactions: DataFrame, users: DataFrame) -> DataFrame:
     """Transactions in a product that the user's account type does not include."""
-    joined = facts_with(transactions, users, "account_type", rows_per_task=rows_per_task)
+    joined = facts_with(transactions, users, "account_type")
     single = F.col("account_type").isin("Banking", "Invest")
     return joined.where(single & (F.col("product") != F.col("account_type"))).select(
         "transaction_id", "user_id", "product", "account_type"
@@ -146,12 +143,9 @@ def check_activity_bounds(
     key: str,
     date: str,
     as_of,
-    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Facts dated before the user's signup or after ``as_of``."""
-    joined = facts_with(
-        facts.select(key, "user_id", date), users, "signup_date", rows_per_task=rows_per_task
-    )
+    joined = facts_with(facts.select(key, "user_id", date), users, "signup_date")
     issue = F.when(F.col(date) < F.col("signup_date"), "before_signup").when(
         F.col(date) > date_of(as_of), "after_as_of"
     )

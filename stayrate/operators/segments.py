@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stayrate.functions.numbers import mean, safe_rate
-from stayrate.operators.skew import ROWS_PER_TASK, attach
+from stayrate.operators.skew import attach
 
 SEGMENTS = ("age_group", "acquisition_channel", "account_type", "state")
 
@@ -53,11 +53,9 @@ def value_counts(df: DataFrame, column: str) -> DataFrame:
     return counts.agg(F.count(F.lit(1)).alias("n_rows")).orderBy(F.desc("n_rows"), column)
 
 
-def facts_with(
-    facts: DataFrame, users: DataFrame, *columns: str, rows_per_task: int = ROWS_PER_TASK
-) -> DataFrame:
+def facts_with(facts: DataFrame, users: DataFrame, *columns: str) -> DataFrame:
     """Each fact row with attributes of its user; NULL for unknown users."""
-    return attach(facts, users.select("user_id", *columns), "user_id", rows_per_task)
+    return attach(facts, users.select("user_id", *columns), "user_id")
 
 
 def step_reach(

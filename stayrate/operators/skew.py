@@ -1,7 +1,7 @@
 """Hot keys: facts of which one user may own a large share.
 
 Aggregates need no help here, since Spark combines them before the shuffle. Operators that must
-bring the *rows* of a user together (windows, fact-level joins) treat hot users apart:
+bring the *rows* of a user together in windows treat hot users apart:
 
 * a key is hot when it has more than ``rows_per_task`` rows and more than one in ``MAX_HOT_KEYS``
   of all rows. However the data grows or is distributed, no more than ``MAX_HOT_KEYS`` keys can
@@ -43,17 +43,10 @@ def only_hot(facts: DataFrame, hot: DataFrame, key: str) -> DataFrame:
     return facts.join(F.broadcast(hot), key, "left_semi")
 
 
-def attach(
-    facts: DataFrame, per_key: DataFrame, key: str, rows_per_task: int = ROWS_PER_TASK
-) -> DataFrame:
-    """Left join of facts to a table with one row per key, safe for hot and NULL keys.
+def attach(facts: DataFrame, per_key: DataFrame, key: str) -> DataFrame:
+    """Left join of facts to a table with one row per key.
 
-    Every fact row is kept once; columns of unknown and NULL keys are NULL. NULL keys would all
-    meet in one task of a plain left join although they can match nothing, so they skip it.
+    Every fact row is kept once; columns of unknown and NULL keys are NULL. Facts are read once:
+    the engine splits the partitions of hot and NULL keys on the left side by itself.
     """
-    hot = hot_keys(facts, key, rows_per_task)
-    regular = without_hot(facts, hot, key).join(per_key, key, "left")
-    hot_lookup = only_hot(per_key, hot, key)
-    big = only_hot(facts, hot, key).join(F.broadcast(hot_lookup), key, "left")
-    unkeyed = facts.where(F.col(key).isNull())
-    return regular.unionByName(big).unionByName(unkeyed, allowMissingColumns=True)
+    return facts.join(per_key, key, "left")

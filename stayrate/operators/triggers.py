@@ -11,10 +11,11 @@ from stayrate.functions.calendar import date_of, epoch_millis, instant
 def inactive_users(
     events: DataFrame, users: DataFrame, as_of, days: int = 14, event_type: str | None = "Login"
 ) -> DataFrame:
-    """Users whose last matching event is more than ``days`` before ``as_of`` (status lapsed) or
+    """Users whose last matching event up to ``as_of`` is more than ``days`` before ``as_of`` (status lapsed) or
     who never had one (status never)."""
     matching = events if event_type is None else events.where(F.col("event_type") == event_type)
-    last = matching.groupBy("user_id").agg(F.max("event_date").alias("last_event_date"))
+    until = matching.where(F.col("event_date") <= date_of(as_of))
+    last = until.groupBy("user_id").agg(F.max("event_date").alias("last_event_date"))
     idle = F.datediff(date_of(as_of), F.col("last_event_date"))
     return (
         users.select("user_id")
@@ -57,21 +58,15 @@ def stalled_at(
 def favourite_deposit(transactions: DataFrame) -> DataFrame:
     """Each user's most frequent deposit amount; among equals the smallest.
 
-    Counting per (user, amount) and taking a maximum are both combined map-side, so no window
-    over a user's deposits is needed.
+    Counts per (user, amount), then the smallest amount per (user, count), then the one with the
+    largest count: hash aggregates, combined map-side, without a window over a user's deposits.
     """
     counts = (
         transactions.where((F.col("amount_usd") > 0) & F.col("user_id").isNotNull())
         .groupBy("user_id", "amount_usd")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    best = F.max(F.struct(F.col("n"), (-F.col("amount_usd")).alias("minus"), "amount_usd"))
-    return (
-        counts.groupBy("user_id")
-        .agg(best.alias("best"))
-        .select(
-            "user_id",
-            F.col("best.amount_usd").alias("favourite_amount"),
-            F.col("best.n").alias("times"),
-        )
+    smallest = counts.groupBy("user_id", "n").agg(F.min("amount_usd").alias("amount_usd"))
+    return smallest.groupBy("user_id").agg(
+        F.max_by("amount_usd", "n").alias("favourite_amount"), F.max("n").alias("times")
     )

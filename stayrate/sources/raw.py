@@ -45,6 +45,10 @@ RAW_SCHEMAS = {
 }
 
 
+#: For files and streams alike: headers are checked, malformed rows stop the job.
+CSV_OPTIONS = {"header": True, "enforceSchema": False, "mode": "FAILFAST"}
+
+
 def read_table(spark: SparkSession, name: str, path: str, fmt: str = "csv") -> DataFrame:
     """One raw table. A missing path raises FileNotFoundError naming table and path.
 
@@ -53,13 +57,7 @@ def read_table(spark: SparkSession, name: str, path: str, fmt: str = "csv") -> D
     """
     try:
         if fmt == "csv":
-            return (
-                spark.read.schema(RAW_SCHEMAS[name])
-                .option("header", True)
-                .option("enforceSchema", False)
-                .option("mode", "FAILFAST")
-                .csv(path)
-            )
+            return spark.read.schema(RAW_SCHEMAS[name]).options(**CSV_OPTIONS).csv(path)
         if fmt == "parquet":
             return spark.read.parquet(path)
     except AnalysisException as error:

@@ -124,10 +124,3 @@ def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         "transactions": raw_transactions(spark, sf_dir),
         "events": raw_events(spark, sf_dir),
     }
-
-
-def lifespans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A stand-in number of active days per customer: the size of the account balance."""
-    return read_star(spark, sf_dir, "customer").select(
-        F.col("c_custkey").alias("user_id"), F.abs("c_acctbal").alias("lifespan_days")
-    )

@@ -12,7 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from stayrate.operators.payload import event_payload, json_lines
 from stayrate.operators.staging import ingest_window, stg_events
-from stayrate.sources.raw import RAW_SCHEMAS
+from stayrate.sources.raw import CSV_OPTIONS, RAW_SCHEMAS
 
 
 def read_event_stream(
@@ -24,7 +24,7 @@ def read_event_stream(
         .option("maxFilesPerTrigger", files_per_batch)
     )
     if fmt == "csv":
-        reader = reader.option("header", True).option("mode", "FAILFAST")
+        reader = reader.options(**CSV_OPTIONS)
     return reader.load(folder)
 
 

@@ -105,18 +105,6 @@ def test_round_up_and_sign(spark):
     assert rule("One-Time Deposit", "47.50") == (Decimal("47.50"), Decimal("0.00"))
 
 
-def test_activity_window(spark):
-    def window(signup, lifespan):
-        signup = F.lit(signup).cast("date")
-        end = transactions.activity_end(signup, F.lit(lifespan), "2026-05-05")
-        return one(spark, end).isoformat(), one(spark, transactions.activity_days(signup, end))
-
-    assert window("2026-01-01", 10.4) == ("2026-01-11", 10)
-    assert window("2026-01-01", 10.5) == ("2026-01-11", 10)  # ties to even
-    assert window("2026-01-01", 400.0) == ("2026-05-05", 124)
-    assert window("2026-05-05", 30.0) == ("2026-05-05", 1)
-
-
 def test_money_sums_are_exact(spark):
     amounts = ["0.10"] * 3 + ["-0.05", "9999999999999999.99", None]
     df = spark.createDataFrame([(a,) for a in amounts], "a string").select(

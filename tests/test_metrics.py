@@ -132,6 +132,9 @@ def test_inactive_users(make):
         (1, day("2025-01-16"), 15, "lapsed"), (3, None, None, "never"),
     ]
     assert rows(triggers.inactive_users(events, users, "2025-01-31", 14, None), "user_id") == [(3,)]
+    later = make.events((1, "2025-01-01", "Login"), (1, "2025-03-01", "Login"))
+    found = triggers.inactive_users(later, users.where("user_id = 1"), "2025-02-01", 14)
+    assert rows(found) == [(1, day("2025-01-01"), 31, "lapsed")]
 
 
 def test_stalled_users(make):

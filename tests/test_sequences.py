@@ -82,6 +82,16 @@ def test_step_times(spark, steps, within, strict, dates_only, rows_per_task):
     assert {r.user_id: tuple(r)[1:] for r in got} == expected_times(events, steps, within, strict)
 
 
+@pytest.mark.parametrize("rows_per_task", [1, skew.ROWS_PER_TASK])
+def test_step_times_without_a_time(spark, rows_per_task):
+    when = dt.datetime(2025, 1, 1, 10)
+    rows_ = [(1, 1, None, None, "Login", "Web", 1), (2, 2, when.date(), when, "Login", "Web", 1),
+             (3, 2, None, None, "View_Portfolio", "Web", 1)]
+    df = spark.createDataFrame(rows_, EVENTS)
+    got = funnel.step_times(df, CHAIN, None, True, rows_per_task).collect()
+    assert [(r.user_id, r.t1, r.t2) for r in got] == [(2, when, None)]
+
+
 def test_funnel_report(spark, make):
     events = make.events(
         (1, "2025-01-01 10:00:00", "Login"),
@@ -169,25 +179,24 @@ def test_path_counts(spark):
 @pytest.mark.parametrize("shape", ["even", "burst", "one date"])
 def test_slices_are_balanced(spark, shape):
     """However a user's events lie in time, no slice comes near the user's size."""
-    n, slices = 4000, int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n, slices = 4000, 8
     minutes = {
         "even": lambda i: i, "burst": lambda i: 500_000 * (i == 0), "one date": lambda i: 0,
     }[shape]
     times = [START + dt.timedelta(minutes=minutes(i)) for i in range(n)]
     events = [(i, 1, ts.date(), ts, "Login", "Web", 1) for i, ts in enumerate(times)]
-    df = paths._sliced(spark.createDataFrame(events, EVENTS))
+    df = paths._sliced(spark.createDataFrame(events, EVENTS), slices)
     sizes = [r["count"] for r in df.groupBy("slice").count().collect()]
     assert len(sizes) == slices and max(sizes) <= 2 * n / slices
 
 
-@pytest.mark.parametrize("rows_per_task", [2, skew.ROWS_PER_TASK])
-def test_attach_keeps_every_fact(spark, rows_per_task):
+def test_attach_keeps_every_fact(spark):
     facts = spark.createDataFrame(
         [(i, k) for i, k in enumerate([1, 1, 1, 1, 2, 3, 3, 3, 9, 9, 9, None, None, None])],
         "event_id bigint, user_id bigint",
     )
     users = spark.createDataFrame([(1, "a"), (2, "b"), (3, None), (4, "d")], "user_id bigint, x string")
-    got = skew.attach(facts, users, "user_id", rows_per_task)
+    got = skew.attach(facts, users, "user_id")
     assert sorted((r.event_id, r.user_id, r.x) for r in got.collect()) == [
         (0, 1, "a"), (1, 1, "a"), (2, 1, "a"), (3, 1, "a"), (4, 2, "b"), (5, 3, None), (6, 3, None),
         (7, 3, None), (8, 9, None), (9, 9, None), (10, 9, None), (11, None, None), (12, None, None),
