@@ -30,7 +30,7 @@ from pyspark.sql.window import Window
 from stayrate.llm.common import staged, text_of
 from stayrate.llm.flat import Numbers, Strings
 
-KEPT_WORDS, ROWS = 1_000_000, 1024
+KEPT_WORDS, ROWS = 400_000, 1024
 ROWS_PER_BUCKET = 50_000
 PIECES = "id {}, start long, length long, ids_crc32 long, doc_tokens long, ids array<int>"
 

@@ -34,7 +34,7 @@ from stayrate.llm.common import staged, text_of
 BLOCK = 1 << 20
 BASE = np.uint64(0x9E3779B97F4A7C15)
 INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
-SHARD_BYTES = 4 << 20
+SHARD_BYTES = 1 << 20
 
 
 # -- anchors ----------------------------------------------------------------------------------
