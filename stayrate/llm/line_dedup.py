@@ -34,8 +34,11 @@ def lines_of(docs: DataFrame, id_col: str, text_col: str, least_chars: int) -> D
     )
     rows = docs.select(doc.alias("doc"), F.posexplode(F.split(text, "\n", -1)).alias("number", "line"))
     rows = rows.where(F.length("line") >= least_chars)
-    line_id = F.struct(F.xxhash64("line").alias("h"), F.octet_length("line").alias("size"))
-    return rows.withColumn("id", line_id)
+    return rows.withColumn("id", _line_id())
+
+
+def _line_id() -> Column:
+    return F.struct(F.xxhash64("line").alias("h"), F.octet_length("line").alias("size"))
 
 
 def _letter_counts() -> Column:
@@ -47,6 +50,12 @@ def _letter_counts() -> Column:
     return counts
 
 
+def distinct_lines(lines: DataFrame) -> DataFrame:
+    """(id, line, counts) of every different line; equal lines are combined before they are shuffled."""
+    once = lines.select("line").distinct()
+    return staged(once.select(_line_id().alias("id"), "line", _letter_counts().alias("counts")), "distinct")
+
+
 def _bounds(length: Column, segment: int, edits: int) -> tuple[Column, Column]:
     """Start (from 0) and size of a segment of a line of this length; the last ones are longer."""
     parts = edits + 1
@@ -96,15 +105,13 @@ def _letters_allow(a: Column, b: Column, edits: int) -> Column:
 
 
 def candidate_pairs(lines: DataFrame, edits: int) -> DataFrame:
-    """Pairs (a, b) of line ids that share a segment where it may stand, a < b."""
-    counted = lines.withColumn("counts", _letter_counts())
-    listed = counted.select(
+    """Pairs (a, b) of ids of different lines that share a segment where it may stand, a < b."""
+    listed = lines.select(
         F.col("id").alias("a"), F.col("counts").alias("n"), F.explode(segment_keys(edits)).alias("key")
     )
-    probes = counted.select(
-        F.col("id").alias("b"), F.col("counts").alias("m"), F.explode(probe_keys(edits)).alias("key")
-    )
-    listed, probes = listed.distinct(), probes.where("key IS NOT NULL").distinct()
+    keys = F.explode(F.array_distinct(probe_keys(edits))).alias("key")
+    probes = lines.select(F.col("id").alias("b"), F.col("counts").alias("m"), keys)
+    probes = probes.where("key IS NOT NULL")
     differ = (F.col("a.h") != F.col("b.h")) | (F.col("a.size") != F.col("b.size"))
     near = _letters_allow(F.col("n"), F.col("m"), edits)
     found = listed.join(probes, (listed["key"] == probes["key"]) & differ & near)
@@ -165,10 +172,10 @@ def within(a: str, b: str, edits: int) -> Column:
 
 def close_pairs(lines: DataFrame, edits: int) -> DataFrame:
     """Verified pairs (a, b) of line ids."""
+    lines = distinct_lines(lines)
     pairs = staged(candidate_pairs(lines, edits), "pairs")
     wanted = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id")))
     texts = lines.select("id", "line").join(wanted.distinct(), "id", "left_semi")
-    texts = texts.groupBy("id").agg(F.min("line").alias("line"))
     # Written out, else the characters would be split anew at every step of the automaton.
     texts = staged(texts.withColumn("chars", F.split("line", "")), "lines")
     x, y = (
