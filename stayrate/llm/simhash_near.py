@@ -126,15 +126,16 @@ def near_groups(
 
 
 def drop_near(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The row of each group whose id is the group's component_id, with all columns of ``docs``.
+    """One row of each group of near copies, with all columns of ``docs``.
 
-    Of rows that share that id one stays.
+    The row with the smallest id stays, null ids last; of rows that share that id the one with the
+    smallest hash. Groups are told apart by their texts, so null and repeated ids cost no group its row.
     """
-    names = docs.columns
-    groups = near_groups(docs, id_col, text_col)
-    keep = groups.select(F.struct(F.col("component_id").alias("id")).alias("_id")).distinct()
-    kept = docs.select(
-        F.struct(F.col(id_col).alias("id")).alias("_id"),  # a struct: nulls are equal
-        F.struct(*(F.col(f"`{c}`") for c in names)).alias("_row"),
-    ).join(keep, "_id", "left_semi")
-    return kept.groupBy("_id").agg(F.min("_row").alias("_row")).select("_row.*")
+    names = [F.col(f"`{c}`") for c in docs.columns]
+    row_hash = F.xxhash64(*names, *(c.isNull() for c in names))  # the hash alone passes over nulls
+    name = F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), row_hash.alias("h"))
+    groups = near_groups(docs.select(name.alias("_name"), text_of(text_col).alias("_text")), "_name", "_text")
+    keep = groups.select(F.col("component_id").alias("_name")).distinct()
+    named = docs.select(name.alias("_name"), F.struct(*names).alias("_row"))
+    kept = named.join(keep, "_name", "left_semi")
+    return kept.groupBy("_name").agg(F.min("_row").alias("_row")).select("_row.*")

@@ -431,6 +431,21 @@ def test_simhash(spark, texts, odd, nothing):
     assert len(ids) == len(set(ids)) and 3 in ids and 4 not in ids
 
 
+def test_one_row_of_each_near_group_stays(spark):
+    one, two, three = ("alpha beta gamma delta", "red green blue black", "north east south west")
+    rows = [
+        (None, one, "a"), (None, one, "b"), (None, two, "a"),
+        (8, three, "a"), (8, "some other text here", "a"), (9, three, None), (None, three, "a"),
+        (7, "x", None), (7, None, "x"),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    kept = simhash_near.drop_near(docs)
+    assert kept.columns == docs.columns
+    found = sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr)
+    expected = [(None, one), (None, two), (8, three), (8, "some other text here"), (7, "x"), (7, None)]
+    assert found == sorted(expected, key=repr)
+
+
 @pytest.mark.parametrize("bits", [0, 1, 2, 3, 5])
 def test_hamming_links(spark, bits):
     rng = random.Random(bits)
