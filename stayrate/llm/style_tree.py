@@ -30,7 +30,7 @@ from stayrate.llm.url_filter import host_of
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(script|style|noscript|template|textarea|title|iframe|svg|xmp|noembed|noframes)\b[^>]*>"
+    r"|<(script|style|textarea|title|xmp|noembed|noframes)(?=[\s/>])[^>]*>"
     r".*?(?:</\1\s*>|\Z)"
     r"|</?([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)",
     re.S | re.I,
@@ -39,14 +39,23 @@ ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?"
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s "
-    "samp small span strike strong sub sup time tt u var wbr".split()
+    "samp small span strike strong sub sup time tt u var wbr svg iframe noscript template".split()
 )
+#: Elements whose insides are no part of the page around them.
+APART = frozenset("svg iframe noscript template".split())
+END_TAGS = {tag: re.compile(rf"</{tag}(?=[\s/>])", re.I) for tag in APART}
+#: Opening tags that end an open svg, and the svg elements in which they do not.
+HTML_ONLY = frozenset(
+    "b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li ol p "
+    "pre ruby s small span strong strike sub sup table tt u ul var".split()
+)
+HTML_IN_SVG = frozenset(("foreignobject", "desc"))
 #: Elements that an opening tag of the same group closes.
 CLOSED_BY = {
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"},
     "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}, "body": {"head"},
 }
-SCOPES = frozenset("ul ol dl table article section main body div td th blockquote nav footer aside".split())
+SCOPES = APART | set("ul ol dl table article section main body div td th blockquote nav footer aside".split())
 #: What a page declares not to be its text: elements, roles, and words of class and id.
 NOISE_TAGS = frozenset(
     "nav header footer aside form script style noscript template head title menu button select "
@@ -76,6 +85,7 @@ class Node:
     parent: Node | None
     noise: bool
     article: bool
+    within: str  # the innermost of APART and HTML_IN_SVG
     children: list[str] = field(default_factory=list)
     own: list[str] = field(default_factory=list)
 
@@ -124,8 +134,9 @@ def _path(above: int, tag: str, names: str) -> int:
 
 def walk(source: str) -> Iterator[tuple[str, Node, str | None]]:
     """("text", node, text), ("break", node, None) and ("end", node, None) in page order."""
-    root = Node("", _hash("root"), None, False, False)
+    root = Node("", _hash("root"), None, False, False, "")
     stack, at = [root], 0
+    last_ends: dict[str, int] = {}
     while (found := source.find("<", at)) >= 0:
         if found > at:
             yield "text", stack[-1], source[at:found]
@@ -137,6 +148,9 @@ def walk(source: str) -> Iterator[tuple[str, Node, str | None]]:
         at = token.end()
         if token[1]:
             stack[-1].children.append(token[1].lower())
+            opened = source.index(">", found) + 1
+            if stack[-1].within == "svg" and source[opened - 2] == "/":
+                at = opened
             continue
         tag = (token[2] or "").lower()
         if not tag:
@@ -149,6 +163,17 @@ def walk(source: str) -> Iterator[tuple[str, Node, str | None]]:
                 while len(stack) > depth:
                     yield "end", stack.pop(), None
             continue
+        if tag in HTML_ONLY:
+            while stack[-1].within == "svg":
+                yield "end", stack.pop(), None
+        empty = token[3].endswith("/") and (tag in APART or stack[-1].within == "svg")
+        if not empty and tag in APART and tag != "svg":  # without an end tag it would take the rest
+            if tag not in last_ends:
+                last_ends[tag] = max((m.start() for m in END_TAGS[tag].finditer(source, at)), default=-1)
+            empty = last_ends[tag] < at
+        if empty:
+            stack[-1].children.append(tag)
+            continue
         if tag in VOID:
             stack[-1].children.append(tag)
             if tag not in INLINE:
@@ -170,6 +195,7 @@ def walk(source: str) -> Iterator[tuple[str, Node, str | None]]:
         node = Node(
             tag, _path(above.path, tag, names), above, above.noise or noise[above.article],
             above.article or article,
+            tag if tag in APART or (above.within and tag in HTML_IN_SVG) else above.within,
         )
         yield "break" if tag not in INLINE else "inline", above, None
         stack.append(node)
@@ -213,6 +239,8 @@ def page_text(source: str, cut: frozenset[int]) -> str:
                 everywhere[-1].append(text)
                 if node.article:
                     articles[-1].append(text)
+        elif node.within:
+            continue
         elif event == "break" or (event == "end" and node.tag not in INLINE):
             everywhere.append([])
             articles.append([])

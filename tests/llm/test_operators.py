@@ -512,6 +512,24 @@ def test_main_text_of_written_pages():
     assert style_tree.page_text("<div>" * 3000 + "deep", frozenset()) == "deep"
 
 
+@pytest.mark.parametrize(
+    "page, expected",
+    [
+        ("<p>a<svg class='i'/>b</p><p>c", "ab c"),
+        ("<p>a <svg><style/><path d='M0'/><g><text>no</text></g></svg> b</p><p>c", "a b c"),
+        ("<div><p>a<svg viewBox='0'><path d='M0'></p><p>b</div><p>c", "a b c"),
+        ("<svg><g>no<p>a<p>b", "a b"),
+        ("<svg><foreignObject><div>no</div></foreignObject></svg>a", "a"),
+        ("<title-card>a</title-card><style-guide>b<p>c</style-guide><template-part>d", "a b c d"),
+        ("<div>a<iframe src=x></div>b<p>c<noscript><div>no</div></noscript>d</p>e", "a b cd e"),
+        ("a<iframe src='x'/><p>b<iframe>no</iframe>c<template><p>d", "a bc d"),
+        ("<title>no</title><p>a<template><p>no</template>b<script>no", "ab"),
+    ],
+)
+def test_main_text_around_elements_that_are_apart(page, expected):
+    assert style_tree.page_text(page, frozenset()) == expected
+
+
 def test_articles_of_the_test_pages(spark):
     import html as h
 
