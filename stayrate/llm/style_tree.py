@@ -6,7 +6,8 @@ all text below it). A branch that looks and reads alike on most pages has little
 little importance; if the node above it is important, it is cut from every page of the host. So is
 what a page itself declares to be no content: navigation, headers, footers, sidebars, forms, scripts,
 notices, adverts, comments. Where a page marks its article, only that is read; an article is never
-cut as a whole, however often it is copied.
+cut as a whole, however often it is copied. Inside it only what reads the same on nearly all pages is
+cut, and only where it reads so; inline elements are never cut by themselves.
 
 Counts are combined per task before they are shuffled, so a host that fills a third of the table is
 a few rows per node and task. What a host loses is a short list of path hashes, joined to its pages.
@@ -16,7 +17,7 @@ from __future__ import annotations
 
 import html
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
 
@@ -73,8 +74,10 @@ NOISE_WORDS = frozenset(
 WORD = re.compile(r"[a-z]+")
 #: Never cut as a whole.
 ROOTS = frozenset(("", "html", "body", "main", "article"))
-NODE = ("host", "path", "above", "root")
-TREE = "path long, above long, root boolean, kind string, value long"
+NODE = ("host", "path", "above")
+TREE = "path long, above long, guard int, kind string, value long"
+#: What may be cut of a node: all of it, its commonest content only, nothing.
+FREE, IN_ARTICLE, KEPT = 0, 1, 2
 READ = "text string, n_chars long"
 
 
@@ -205,37 +208,63 @@ def walk(source: str) -> Iterator[tuple[str, Node, str | None]]:
         yield "end", stack.pop(), None
 
 
-def page_tree(source: str) -> set[tuple[int, int, bool, str, int]]:
-    """(path, path above, whether a root, kind, value) of the nodes of one page."""
-    found = set()
-    for event, node, text in walk(source):
+def _contents(events: Iterable[tuple[str, Node, str | None]]) -> Iterator[tuple[Node, int]]:
+    """Nodes that are no noise, each with a digest of all text below it, at their end."""
+    for event, node, text in events:
         if node.noise:
             continue
         if event == "text":
             node.own.append(" ".join(text.split()))
         elif event == "end":
             parts = [part for part in node.own if part]
-            above = node.parent.path if node.parent else 0
-            place = (node.path, above, node.tag in ROOTS)
-            found.add((*place, "style", _hash(*node.children)))
-            found.add((*place, "content", _hash(*parts)))
+            value = _hash(*parts)
             if parts and node.parent:
-                node.parent.own.append(str(_hash(*parts)))
+                node.parent.own.append(str(value))
+            yield node, value
+
+
+def _guard(node: Node) -> int:
+    whole = node.article and not (node.parent and node.parent.article)
+    if whole or node.tag in ROOTS or node.tag in INLINE:
+        return KEPT
+    return IN_ARTICLE if node.article else FREE
+
+
+def page_tree(source: str) -> set[tuple[int, int, int, str, int]]:
+    """(path, path above, guard, kind, value) of the nodes of one page."""
+    found = set()
+    for node, content in _contents(walk(source)):
+        above = node.parent.path if node.parent else 0
+        place = (node.path, above, _guard(node))
+        found.add((*place, "style", _hash(*node.children)))
+        found.add((*place, "content", content))
     return found
 
 
-def page_text(source: str, cut: frozenset[int]) -> str:
-    """The text of the page's articles, else of its whole body, without noise and cut branches."""
+def page_text(
+    source: str, cut: frozenset[int], same: frozenset[tuple[int, int]] = frozenset()
+) -> str:
+    """The text of the page's articles, else of its whole body, without noise and cut branches.
+
+    ``cut`` holds paths, ``same`` paths with the content that is cut there.
+    """
     everywhere: list[list[str]] = [[]]
     articles: list[list[str]] = [[]]
     seen_article = False
     lost: set[int] = set()  # cut paths and those below them
-    for event, node, text in walk(source):
+    events = walk(source)
+    gone: set[int] = set()  # numbers of the nodes of ``same`` and those below them
+    if same:
+        events = list(events)
+        gone = {id(node) for node, content in _contents(events) if (node.path, content) in same}
+    for event, node, text in events:
         seen_article |= node.article and not node.noise
         if cut and (node.path in cut or (node.parent and node.parent.path in lost)):
             lost.add(node.path)
+        if gone and node.parent and id(node.parent) in gone:
+            gone.add(id(node))
         if event == "text":
-            if not (node.noise or node.path in lost):
+            if not (node.noise or node.path in lost or id(node) in gone):
                 everywhere[-1].append(text)
                 if node.article:
                     articles[-1].append(text)
@@ -260,38 +289,60 @@ def style_trees(pages: DataFrame) -> DataFrame:
                     rows.append(i)
                     for column, x in zip(columns, entry):
                         column.append(x)
-            types = (pa.int64(), pa.int64(), pa.bool_(), pa.string(), pa.int64())
+            types = (pa.int64(), pa.int64(), pa.int32(), pa.string(), pa.int64())
             arrays = [pa.array(c, t) for c, t in zip(columns, types)]
             host = batch.column(0).take(pa.array(rows, pa.int32()))
-            names = ["host", "path", "above", "root", "kind", "value"]
+            names = ["host", "path", "above", "guard", "kind", "value"]
             yield pa.RecordBatch.from_arrays([host, *arrays], names=names)
 
     nodes = pages.mapInArrow(run, f"host string, {TREE}")
-    return nodes.groupBy(*NODE, "kind", "value").agg(F.count(F.lit(1)).alias("n"))
+    counts = (F.count(F.lit(1)).alias("n"), F.max("guard").alias("guard"))
+    return nodes.groupBy(*NODE, "kind", "value").agg(*counts)
 
 
-def unimportant(trees: DataFrame, least: float, least_pages: int, of_content: float = 0.9) -> DataFrame:
-    """(host, cut): the branches that hardly differ between at least ``least_pages`` pages.
+def unimportant(
+    trees: DataFrame,
+    least: float,
+    least_pages: int,
+    of_content: float = 0.9,
+    nearly_all: float = 0.9,
+) -> DataFrame:
+    """(host, cut, same): the branches that hardly differ between at least ``least_pages`` pages.
 
     The importance of a node weighs the entropies of its contents and presentations, on the scale on
     which something different on every page is 1. A branch is cut if it has less than ``least`` and
-    the node above it at least half of the scale.
+    the node above it at least half of the scale. That scale grows with the host, so inside an article
+    the commonest content must also have a share of ``nearly_all``, and only it is cut (``same``).
     """
     share = F.col("n") / F.col("m")
     total = trees.groupBy(*NODE, "kind").agg(F.sum("n").alias("m"))
     parts = trees.join(total, [*NODE, "kind"]).withColumn("h", -share * F.log(share))
     entropy = F.sum("h") / F.log(F.greatest(F.max("m"), F.lit(2)))
     weight = F.when(F.col("kind") == "content", of_content).otherwise(1 - of_content)
-    nodes = parts.groupBy(*NODE, "kind").agg(entropy.alias("entropy"), F.max("m").alias("m"))
+    nodes = parts.groupBy(*NODE, "kind").agg(
+        entropy.alias("entropy"), F.max("m").alias("m"), F.max("guard").alias("guard"),
+        F.max(F.struct("n", "value")).alias("top"),
+    )
+    content = F.col("kind") == "content"
     nodes = nodes.groupBy(*NODE).agg(
         F.sum(weight * F.col("entropy")).alias("importance"),
-        F.max(F.when(F.col("kind") == "content", F.col("m"))).alias("m"),
+        F.max(F.when(content, F.col("m"))).alias("m"),
+        F.max(F.when(content, F.col("top"))).alias("top"),
+        F.max("guard").alias("guard"),
     )
     nodes = staged(nodes, "importance")
     above = nodes.select("host", F.col("path").alias("above"), F.col("importance").alias("around"))
-    low = nodes.where(~F.col("root") & (F.col("m") >= least_pages) & (F.col("importance") < least))
+    common = (F.col("guard") == FREE) | (
+        (F.col("guard") == IN_ARTICLE) & (F.col("top.n") >= nearly_all * F.col("m"))
+    )
+    low = nodes.where(common & (F.col("m") >= least_pages) & (F.col("importance") < least))
     low = low.join(above.where("around >= 0.5"), ["host", "above"], "left_semi")
-    return low.groupBy("host").agg(F.collect_set("path").alias("cut"))
+    free = F.col("guard") == FREE
+    same = F.struct("path", F.col("top.value").alias("content"))
+    return low.groupBy("host").agg(
+        F.collect_set(F.when(free, F.col("path"))).alias("cut"),
+        F.collect_set(F.when(~free, same)).alias("same"),
+    )
 
 
 def main_text(
@@ -313,14 +364,17 @@ def main_text(
         F.struct(F.col(id_col).alias("id"), F.col(url_col).alias("url")).alias("page"),
     )
     cut = staged(unimportant(style_trees(rows.select("host", "html")), least, least_pages), "cut")
-    joined = rows.join(cut, "host", "left").select("page", "html", "cut")
+    joined = rows.join(cut, "host", "left").select("page", "html", "cut", "same")
     kind = joined.schema["page"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [
-                page_text(source.as_py(), frozenset(cut.as_py() or ()))
-                for source, cut in zip(batch.column(1), batch.column(2))
+                page_text(
+                    source.as_py(), frozenset(cut.as_py() or ()),
+                    frozenset((s["path"], s["content"]) for s in same.as_py() or ()),
+                )
+                for source, cut, same in zip(batch.column(1), batch.column(2), batch.column(3))
             ]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(found, pa.string()), pa.array(map(len, found), pa.int64())],

@@ -560,6 +560,17 @@ def test_branches_that_all_pages_share_are_cut(spark):
     assert style_tree.main_text(pages.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("n", [10, 10_000])
+def test_what_repeats_in_articles_is_kept_on_hosts_of_any_size(spark, n):
+    page = "<article><h2>Part {}</h2><p>text {} <b>bold</b> here</p><div class=x>{}</div></article>"
+    last = {1: "own end of one page"}
+    rows = [(i, "http://a.org/x", page.format(i % 2, i, last.get(i, "Same on all"))) for i in range(n)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    text = {r.page_id: r.text for r in style_tree.main_text(pages).collect()}
+    for i in range(n):
+        assert text[i] == f"Part {i % 2} text {i} bold here" + (f" {last[i]}" if i in last else "")
+
+
 # -- 10 ---------------------------------------------------------------------------------------
 def check_packing(rows, texts, size):
     """Every id in one piece, sequences gapless and not too long; returns the padding's share."""
