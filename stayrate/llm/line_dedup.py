@@ -194,15 +194,22 @@ def line_classes(
     text_col: str = "text",
     edits: int = 1,
     least_chars: int = 20,
+    equal_short: bool = False,
 ) -> DataFrame:
     """One row per line of at least ``least_chars`` characters: doc, number, line_id, class_id, kept.
 
     Lines are the ``\\n``-separated parts of a text; equal lines and lines linked by at most
     ``edits`` edits form a class, of which the line of the smallest document id and number is kept.
     Null texts have no lines; null ids come last; rows equal in id and text share one verdict.
+    With ``equal_short`` there are also rows for shorter lines that are not blank; of those only
+    equal ones form a class.
     """
-    lines = lines_of(docs, id_col, text_col, least_chars)
-    linked = staged(components(close_pairs(lines, edits), "a", "b"), "classes")
+    long = lines_of(docs, id_col, text_col, least_chars)
+    linked = staged(components(close_pairs(long, edits), "a", "b"), "classes")
+    lines = long
+    if equal_short:
+        compared = (F.length("line") >= least_chars) | F.col("line").rlike(r"\S")
+        lines = lines_of(docs, id_col, text_col, 1).where(compared)
     places = lines.select("doc", "number", "id")
     classed = places.join(linked, places["id"] == linked["node"], "left").select(
         "doc", "number", "id", F.coalesce("component", "id").alias("class")
@@ -226,13 +233,15 @@ def dedup_lines(
     text_col: str = "text",
     edits: int = 1,
     least_chars: int = 20,
+    equal_short: bool = False,
 ) -> DataFrame:
     """One row per document: id, n_lines, n_removed, class_ids (of its removed lines, sorted).
 
-    See ``line_classes``; shorter lines are never removed, a null text has no lines, documents that
-    lose none have an empty list. Other columns are ignored.
+    See ``line_classes``; shorter lines that are blank, and without ``equal_short`` all shorter lines,
+    are never removed, a null text has no lines, documents that lose none have an empty list. Other
+    columns are ignored.
     """
-    gone = line_classes(docs, id_col, text_col, edits, least_chars).where("NOT kept")
+    gone = line_classes(docs, id_col, text_col, edits, least_chars, equal_short).where("NOT kept")
     per_doc = gone.groupBy("doc").agg(
         F.collect_set("line_number").alias("numbers"), F.collect_set("class_id").alias("classes")
     )

@@ -48,7 +48,7 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
+    return line_dedup.dedup_lines(table(spark, sf_dir, "documents"), equal_short=True)
 
 
 def op6_co_training(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -365,6 +365,15 @@ def test_line_dedup_of_odd_rows(spark, odd, nothing):
     assert got == {1: (2, 0), 2: (4, 2), None: (1, 1)}
 
 
+def test_equal_short_lines_are_removed_by_the_query(spark, tmp_path):
+    rows = [(2, "one\ntwo\n\none\n \t"), (1, "two\n\n \t\nTwo"), (3, "日本\ntwo!"), (4, "日本"), (5, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    found = collected(queries.op5_line_dedup(spark, str(tmp_path)))
+    assert {i: r.n_removed for i, r in found.items()} == {1: 0, 2: 2, 3: 0, 4: 1, 5: 0}
+    assert len(found[2].class_ids) == 2
+
+
 # -- 6 ----------------------------------------------------------------------------------------
 def test_co_training_on_held_out_documents(spark):
     sf = f"{TESTDATA}/sf0.01"
