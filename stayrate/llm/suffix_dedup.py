@@ -10,9 +10,10 @@
    refinement (``suffix_array``), its common prefixes follow by Kasai's bound (``common_prefixes``),
    and a window is repeated if a neighbour in suffix order shares ``size`` bytes, or if its stretch
    occurs more than once.
-4. Hot keys, with more than ``most`` different stretches, are dealt to several shards. Their
-   suffix-ordered distinct windows are cut at common borders by binary search, and the slices of one
-   range from all shards are merged in one task. What meets there is bounded by the number of ranges.
+4. Hot keys, with more than ``most`` different stretches, are dealt to several shards. In each, equal
+   neighbours of the suffix order become one window; the distinct windows are cut at common borders of
+   their hashes, and the slices of one range from all shards are merged in one task, which receives a
+   window at most once per shard. The repeated ones return to their shards and mark the stretches.
 5. Repeated windows return to their documents as byte ranges.
 
 Only lists of one document or one shard are held in a task; nothing is collected but sums.
@@ -358,70 +359,97 @@ def _window_digests(stretch: bytes, size: int) -> np.ndarray:
     return np.stack((_hashes(data, size), _hashes(turned, size) * BASE), axis=1)
 
 
-def _hot(stretches: DataFrame, size: int, most: int) -> DataFrame:
-    """Repeated ranges of keys with too many stretches for one shard."""
-    salted = stretches.withColumn(
-        "shard", F.pmod(F.xxhash64("digest"), F.ceil(F.col("different") / most))
-    )
-    slices = (
-        "key long, range long, high array<long>, low array<long>, part array<int>, "
-        "place array<int>, digests array<binary>, several array<boolean>"
-    )
+def _shard_windows(cut: DataFrame, size: int) -> DataFrame:
+    """Distinct windows of every shard of hot keys, by hash range, and whether they repeat in it.
+
+    Equal windows are neighbours in suffix order and become one entry, in however many stretches
+    they stand, so a range receives a window at most once per shard.
+    """
+    slices = "key long, range long, shard long, high array<long>, low array<long>, many array<boolean>"
 
     def sort_shard(frame: pd.DataFrame) -> pd.DataFrame:
         parts = frame["stretch"].tolist()
-        part, offset, _ = sorted_windows(parts, size)
+        part, offset, equal = sorted_windows(parts, size)
         starts = np.concatenate(([0], np.cumsum([len(p) - size + 1 for p in parts])))[:-1]
         digests = np.concatenate([_window_digests(p, size) for p in parts])
-        chosen = digests[starts[part] + offset]
-        by = np.lexsort((chosen[:, 1], chosen[:, 0]))
-        chosen, part, offset = chosen[by], part[by], offset[by]
+        first = np.flatnonzero(~equal)
+        several = (frame["n"] > 1).to_numpy()
+        many = np.logical_or.reduceat(several[part], first) | (np.diff(first, append=len(part)) > 1)
+        chosen = digests[starts[part[first]] + offset[first]]
+        by = np.argsort(chosen[:, 0], kind="stable")
+        chosen, many = chosen[by], many[by]
         count = int(frame["ranges"].iloc[0])
         borders = [np.uint64((i << 64) // count) for i in range(1, count)]
         cuts = [0, *np.searchsorted(chosen[:, 0], borders).tolist(), len(chosen)]
-        several = (frame["n"] > 1).to_numpy()
-        names = frame["digest"].tolist()
-        rows = []
-        for number, (i, j) in enumerate(zip(cuts, cuts[1:])):
-            used, local = np.unique(part[i:j], return_inverse=True)
-            rows.append(
-                (
-                    int(frame["key"].iloc[0]), number, chosen[i:j, 0].view(np.int64),
-                    chosen[i:j, 1].view(np.int64), local.astype(np.int32),
-                    offset[i:j].astype(np.int32), [names[u] for u in used], several[used],
-                )
-            )
+        key, shard = int(frame["key"].iloc[0]), int(frame["shard"].iloc[0])
+        rows = [
+            (key, number, shard, chosen[i:j, 0].view(np.int64), chosen[i:j, 1].view(np.int64), many[i:j])
+            for number, (i, j) in enumerate(zip(cuts, cuts[1:]))
+            if i < j
+        ]
         return pd.DataFrame(rows, columns=[c.split()[0] for c in slices.split(", ")])
 
+    return cut.groupBy("key", "shard").applyInPandas(sort_shard, slices)
+
+
+def _same_windows(high: np.ndarray, low: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An order in which equal windows are neighbours, and where in it a new window begins."""
+    by = np.lexsort((low, high))
+    new = np.ones(len(by), bool)
+    new[1:] = (high[by[1:]] != high[by[:-1]]) | (low[by[1:]] != low[by[:-1]])
+    return by, np.flatnonzero(new)
+
+
+def _hot(stretches: DataFrame, size: int, most: int) -> DataFrame:
+    """Repeated ranges of keys with too many stretches for one shard."""
+    count = F.ceil(F.col("different") / most)
+    cut = stretches.select(
+        "key", F.pmod(F.xxhash64("digest"), count).alias("shard"), "digest", "stretch", "n",
+        count.alias("ranges"),
+    )
+    repeated = "key long, shard long, high array<long>, low array<long>"
+
     def merge(frame: pd.DataFrame) -> pd.DataFrame:
-        """Windows of one range from all shards: equal neighbours of the merged order repeat."""
-        high, low = (np.concatenate(frame[c].tolist()) for c in ("high", "low"))
-        sizes = [len(d) for d in frame["digests"]]
-        first = np.concatenate(([0], np.cumsum(sizes)))[:-1]
-        part = np.concatenate([p + f for p, f in zip(frame["part"], first)])
-        names = [n for d in frame["digests"] for n in d]
-        several = np.concatenate([np.asarray(s, bool) for s in frame["several"]])
-        place = np.concatenate(frame["place"].tolist())
-        by = np.lexsort((low, high))
-        equal = np.zeros(len(by), bool)
-        equal[1:] = (high[by[1:]] == high[by[:-1]]) & (low[by[1:]] == low[by[:-1]])
-        marked = by[repeated_windows(equal) | several[part[by]]]
+        """Windows of one range that occur more than once, for each shard that has them."""
+        high, low, many = (np.concatenate(frame[c].tolist()) for c in ("high", "low", "many"))
+        shard = np.repeat(frame["shard"].to_numpy(), [len(h) for h in frame["high"]])
+        by, first = _same_windows(high, low)
+        sizes = np.diff(first, append=len(by))
+        marked = np.logical_or.reduceat(many[by].astype(bool), first) | (sizes > 1)
+        found = by[np.repeat(marked, sizes)]
+        found = found[np.argsort(shard[found], kind="stable")]
         key = int(frame["key"].iloc[0])
-        found = {
-            (names[p]): (begins, ends)
-            for p, begins, ends in _by_part(
-                part[marked].astype(np.int64), place[marked].astype(np.int64),
-                [int(place.max(initial=0)) + size] * len(names), size,
-            )
-        }
-        rows = [(key, name, begins, ends) for name, (begins, ends) in found.items()]
+        rows = [
+            (key, int(shard[f[0]]), high[f], low[f])
+            for f in np.split(found, np.flatnonzero(np.diff(shard[found])) + 1)
+            if len(f)
+        ]
+        return pd.DataFrame(rows, columns=["key", "shard", "high", "low"])
+
+    def mark(frame: pd.DataFrame, listed: pd.DataFrame) -> pd.DataFrame:
+        """The ranges of a shard's stretches that its listed windows cover."""
+        if listed.empty:
+            return pd.DataFrame([], columns=["key", "digest", "begins", "ends"])
+        parts = frame["stretch"].tolist()
+        lengths = list(map(len, parts))
+        windows = np.array(lengths) - size + 1
+        digests = np.concatenate([_window_digests(p, size) for p in parts]).view(np.int64)
+        high, low = (
+            np.concatenate([digests[:, c], *listed[name]]) for c, name in ((0, "high"), (1, "low"))
+        )
+        by, first = _same_windows(high, low)
+        hit = np.logical_or.reduceat(by >= len(digests), first)
+        inside = by[np.repeat(hit, np.diff(first, append=len(by)))]
+        inside = np.sort(inside[inside < len(digests)])
+        part = np.repeat(np.arange(len(parts)), windows)[inside]
+        offset = inside - (np.cumsum(windows) - windows)[part]
+        key, names = int(frame["key"].iloc[0]), frame["digest"].tolist()
+        rows = [(key, names[p], i, j) for p, i, j in _by_part(part, offset, lengths, size)]
         return pd.DataFrame(rows, columns=["key", "digest", "begins", "ends"])
 
-    cut = salted.withColumn("ranges", F.ceil(F.col("different") / most)).select(
-        "key", "shard", "digest", "stretch", "n", "ranges"
-    )
-    sorted_ = cut.groupBy("key", "shard").applyInPandas(sort_shard, slices)
-    return sorted_.groupBy("key", "range").applyInPandas(merge, FOUND)
+    merged = _shard_windows(cut, size).groupBy("key", "range").applyInPandas(merge, repeated)
+    back = merged.groupBy("key", "shard")
+    return cut.groupBy("key", "shard").cogroup(back).applyInPandas(mark, FOUND)
 
 
 def _cleaned(held: DataFrame, places: DataFrame, with_text: bool) -> DataFrame:

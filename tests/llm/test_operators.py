@@ -197,6 +197,22 @@ def test_repeated_bytes_hot_and_cold(spark, most):
     assert as_written(found) == sorted(((i % 66, *e) for i, e in enumerate(expected)), key=repr)
 
 
+def test_a_window_of_many_stretches_is_sent_once_per_shard(spark):
+    rng = random.Random(4)
+    own = lambda: bytes(rng.choice(b"klmnop") for _ in range(20))
+    shared = bytes(range(100, 132))
+    stretches = [own() + shared + own() for _ in range(300)]
+    rows = [(7, i % 4, str(i).encode(), x, 1, 4) for i, x in enumerate(stretches)]
+    schema = "key long, shard long, digest binary, stretch binary, n long, ranges long"
+    cut = spark.createDataFrame(rows, schema)
+    slices = suffix_dedup._shard_windows(cut, 32).collect()
+    sent = Counter(w for r in slices for w in zip(r.high, r.low))
+    windows = {x[i : i + 32] for x in stretches for i in range(len(x) - 31)}
+    assert len(sent) == len(windows) and max(sent.values()) == 4
+    many = [w for r in slices for w, m in zip(zip(r.high, r.low), r.many) if m]
+    assert many.count(sent.most_common(1)[0][0]) == 4
+
+
 def test_repeated_bytes_of_odd_rows(spark, odd, nothing):
     expected = plain_repeats([r[1] or "" for r in ODD], 400)
     got = as_written(suffix_dedup.repeated_bytes(odd))
