@@ -41,8 +41,8 @@ def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the remaining texts, placed in sequences of at most 4096 tokens."""
-    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+    """Pieces of the remaining texts with their ids, placed in sequences of at most 4096 tokens."""
+    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), with_ids=True)
 
 
 STAGES = [

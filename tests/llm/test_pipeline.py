@@ -2,8 +2,10 @@
 
 import hashlib
 import itertools
+import zlib
 
 import corpus_pipeline
+import numpy as np
 from conftest import TESTDATA
 from stayrate.llm import co_training
 from test_operators import LOWER, ODD, check_packing, classes_of, plain_fingerprint, plain_repeats
@@ -69,3 +71,12 @@ def test_stages_take_odd_and_empty_tables(spark):
             if name != "packed":
                 assert out.columns == docs.columns
                 assert out.count() <= docs.count()
+
+
+def test_packed_pieces_hold_their_ids(spark):
+    docs = spark.createDataFrame([(1, "one two " * 3000), (2, None), (3, "three")], "doc_id long, text string")
+    rows = corpus_pipeline.packed(spark, docs, SF).collect()
+    assert {r.doc_id for r in rows} == {1, 2, 3} and len(rows) > 3
+    for r in rows:
+        assert len(r.ids) == r.length
+        assert zlib.crc32(np.array(r.ids, "<u4").tobytes()) == r.ids_crc32
