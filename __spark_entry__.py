@@ -25,9 +25,9 @@ from stayrate.operators import cancellations as cancel  # noqa: E402
 from stayrate.operators import cohorts, funnel, numbering, paths, payload, quality  # noqa: E402
 from stayrate.operators import retention as ret  # noqa: E402
 from stayrate.operators import rollups, segments, staging, triggers  # noqa: E402
-from stayrate.plans.marts import build_marts, marts_only  # noqa: E402
+from stayrate.plans.marts import build_marts, lazy_marts, marts_only  # noqa: E402
 from stayrate.session import run_folder  # noqa: E402
-from stayrate.sources import sinks, star  # noqa: E402
+from stayrate.sources import digest, raw, sinks, star  # noqa: E402
 
 try:  # these files can be taken out; everything else works without them
     import corpus_pipeline
@@ -85,6 +85,11 @@ class Tables:
         candidates = cancel.churn_candidates(self.tx, TX_AS_OF)
         return numbering.sample_fraction(candidates, "user_id", 0.30, seed="cancel")
 
+    def lazy(self) -> dict[str, DataFrame]:
+        """Staging tables and marts by name, nothing written."""
+        staged = {"users": self.users, "transactions": self.tx, "events": self.events}
+        return lazy_marts(staged, TX_AS_OF)
+
     def built(self) -> dict[str, DataFrame]:
         """The marts written to a new folder of this run, as the full run does."""
         raw = star.raw_tables(self.spark, self.sf_dir)
@@ -108,6 +113,26 @@ def _exported_marts(t: Tables) -> DataFrame:
     return sinks.exported_counts(t.spark, exports)
 
 
+def _export_digest(t: Tables) -> DataFrame:
+    """What the CSV exports of the marts hold, column by column, as read back from them."""
+    marts = marts_only(t.built())
+    exports = sinks.export_marts(marts, run_folder(t.spark, "exports"))
+    return digest.digests(sinks.read_exports(t.spark, exports, marts))
+
+
+def _from_csv(name: str) -> Callable[[Tables], DataFrame]:
+    """The staged table as read from CSV files that are first written from the test tables."""
+
+    def build(t: Tables) -> DataFrame:
+        whole = star.raw_tables(t.spark, t.sf_dir)[name]
+        fields = [F.col(f.name).cast(f.dataType) for f in raw.RAW_SCHEMAS[name]]
+        path = f"{run_folder(t.spark, 'raw')}/{name}.csv"
+        whole.select(*fields).write.option("header", True).csv(path)
+        return staging.STAGING[name](raw.read_table(t.spark, name, path))
+
+    return build
+
+
 def _flat_identify(t: Tables) -> DataFrame:
     rows = payload.identify_payload(t.summary)
     as_json = F.to_json(F.struct("*"), payload.JSON_OPTIONS).alias("body")
@@ -185,6 +210,10 @@ _QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "transaction_summary": lambda t: t.tx_summary,
     "flow_by_product_type": lambda t: cohorts.flow_by_product_type(t.tx_summary),
     "exported_marts": _exported_marts,
+    "export_digest": _export_digest,
+    "csv_users": _from_csv("users"),
+    "csv_transactions": _from_csv("transactions"),
+    "csv_events": _from_csv("events"),
     # metrics
     "headline": lambda t: segments.headline(t.summary),
     "churn_by_age_group": lambda t: segments.churn_by(t.summary, "age_group"),
@@ -203,6 +232,9 @@ _QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "segment_counts": lambda t: segments.segment_counts(
         t.events, t.users, ("platform", "account_type", "acquisition_channel")
     ),
+    "segment_combinations": lambda t: segments.segment_combinations(
+        t.events, t.users, ("platform", "account_type", "acquisition_channel")
+    ),
     "session_stats": lambda t: segments.session_stats(t.events, t.summary),
     # product analytics
     "funnel": lambda t: funnel.funnel(t.events, STEPS, DAY),
@@ -263,13 +295,13 @@ _QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "check_amount_rules": lambda t: quality.check_amount_rules(
         t.tx, (0.01, 250_000.0), (50_000.0, 400_000.0)
     ),
-    "quality_report": lambda t: quality.quality_report(t.built()),
+    "quality_report": lambda t: quality.quality_report(t.lazy()),
     # rules and cancellations
     "typed_amounts": _typed_amounts,
     "churn_candidates": lambda t: cancel.churn_candidates(t.tx, TX_AS_OF),
     "sampled_candidates": lambda t: t.chosen,
     "append_events": lambda t: staging.append_events(
-        t.events.where("event_date < '2024-01-15'"), t.events.where("event_date >= '2024-01-15'")
+        t.events.where("NOT event_type <=> 'Login'"), staging.events_of_type(t.events, "Login")
     ).select("event_id", "user_id", "event_type", "event_date"),
     # payloads
     "identify_payload": _flat_identify,
@@ -277,6 +309,8 @@ _QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "user_batches": lambda t: _batch_sizes(t.users, "user_id", payload.USERS_PER_REQUEST),
     "event_batches": lambda t: _batch_sizes(t.events, "event_id", payload.EVENTS_PER_REQUEST),
     "event_requests": _request_totals,
+    "event_request_bodies": lambda t: payload.event_requests(t.events, seed="send"),
+    "identify_requests": lambda t: payload.identify_requests(t.summary, seed="send"),
 }
 
 

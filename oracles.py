@@ -40,7 +40,7 @@ ev AS (
               ELSE CASE WHEN event_type = 'error' AND value > 200 THEN 'Cancel_Account'
                         ELSE 'View_Statement' END END AS event_type,
          CASE event_id % 3 WHEN 0 THEN 'iOS' WHEN 1 THEN 'Android' ELSE 'Web' END AS platform,
-         CAST(value AS DECIMAL(8,2)) AS session_duration_sec
+         CAST(value AS DECIMAL(12,2)) AS session_duration_sec
   FROM events),
 starters AS (SELECT user_id, MIN(event_date) AS signup_date FROM ev GROUP BY user_id),
 recent AS (SELECT * FROM ev WHERE event_date >= DATE '2024-01-31' - 15)
@@ -133,6 +133,7 @@ DECIMALS = {
     "preview_transactions": _TX,
     "check_amount_rules": _TX,
     "typed_amounts": _TX,
+    "csv_transactions": _TX,
     "staged_events": "session_duration_sec",
     "tx_rollup": f"{_SUMS} running_balance",
     "user_summary": f"{_SUMS} running_balance",
@@ -297,6 +298,78 @@ FROM (SELECT {key}, (ROW_NUMBER() OVER (ORDER BY {key}) - 1) // {size} AS batch_
 GROUP BY batch_no"""
 
 
+# Tables and their columns as the exports hold them; money and doubles need a stated form.
+EXPORTED = {
+    "mart_user_summary": (
+        "summary",
+        "user_id signup_date acquisition_channel account_type state age_group churned churn_type "
+        "total_transactions total_deposited:money total_withdrawn:money total_round_ups:money "
+        "running_balance:money first_transaction_date last_transaction_date "
+        "days_since_last_transaction total_events last_event_date avg_session_duration_sec:double",
+    ),
+    "mart_churn_cohort": (
+        "cohort",
+        "cohort_month total_users churned_users retained_users churn_rate_pct:double "
+        "explicit_churners silent_churners explicit_churn_rate_pct:double silent_churn_rate_pct:double",
+    ),
+    "mart_churn_cohort_stacked": ("stacked", "cohort_month status users churn_rate_pct:double"),
+    "mart_transaction_summary": (
+        "flows",
+        "transaction_month product transaction_type transaction_count total_deposited:money "
+        "total_withdrawn:money total_round_ups:money net_flow:money",
+    ),
+}
+
+
+def export_digest() -> str:
+    forms = {
+        "": "CAST({0} AS VARCHAR)",
+        "money": "CAST(CAST({0} AS DECIMAL(18,2)) AS VARCHAR)",
+        "double": "CAST(CAST(FLOOR({0} * 1000000.0::DOUBLE + 0.5::DOUBLE) AS BIGINT) AS VARCHAR)",
+    }
+    rows = []
+    for name, (table, columns) in EXPORTED.items():
+        texts = {}
+        for column in columns.split():
+            column, _, kind = column.partition(":")
+            texts[column] = forms[kind].format(column)
+        whole = ", ".join(f"COALESCE({text}, '\\N')" for text in texts.values())
+        texts["*"] = f"CONCAT_WS('|', {whole})"
+        rows += [
+            f"""SELECT '{name}' AS table_name, '{column}' AS column_name, COUNT(*) AS n_rows,
+            COUNT(*) FILTER ({text} IS NULL) AS n_nulls,
+            CAST(COALESCE(SUM(CAST('0x' || LEFT(MD5({text}), 15) AS HUGEINT)), 0) AS VARCHAR) AS digest
+            FROM {table}"""
+            for column, text in texts.items()
+        ]
+    return " UNION ALL ".join(rows)
+
+
+DIMENSIONS = ("platform", "account_type", "acquisition_channel")
+
+
+def segment_combinations() -> str:
+    rows = []
+    for bits in range(1, 8):
+        chosen = [d for i, d in enumerate(DIMENSIONS) if bits >> i & 1]
+        shown = ", ".join(d if d in chosen else f"CAST(NULL AS VARCHAR) AS {d}" for d in DIMENSIONS)
+        present = " AND ".join(f"{d} IS NOT NULL" for d in chosen)
+        rows.append(f"""SELECT '{" & ".join(chosen)}' AS combination, event_type, {shown},
+            COUNT(*) AS events, COUNT(DISTINCT user_id) AS users
+            FROM ev LEFT JOIN us USING (user_id) WHERE {present}
+            GROUP BY event_type, {", ".join(chosen)}""")
+    return " UNION ALL ".join(rows)
+
+
+def request_bodies(payload: str, key: str, order: str, size: int) -> str:
+    """Batches in the order of the seeded MD5 of their key, rows in the order of their fields."""
+    return f"""
+SELECT batch_no, COUNT(*) AS n_rows, '[' || STRING_AGG(body, ',' ORDER BY {order}) || ']' AS body
+FROM (SELECT *, (ROW_NUMBER() OVER (ORDER BY LEFT(MD5({key} || 'send'), 15), {key}) - 1) // {size}
+        AS batch_no FROM ({payload}))
+GROUP BY batch_no"""
+
+
 def quality_report() -> str:
     checks = {}
     for name, (table, key) in UNIQUE_SQL.items():
@@ -323,6 +396,15 @@ def quality_report() -> str:
 SELECT *, CASE WHEN violations = 0 THEN 'pass' ELSE 'fail' END AS status FROM ({counted})"""
 
 
+IDENTIFY_PAYLOAD = """
+SELECT *, CAST(TO_JSON({'user_id': user_id, 'user_properties': {'$set': {
+         'signup_date': signup_date, 'acquisition_channel': acquisition_channel,
+         'account_type': account_type, 'state': state, 'age_group': age_group,
+         'churned': churned, 'churn_type': churn_type}}}) AS VARCHAR) AS body
+FROM (SELECT 'user_' || user_id AS user_id, signup_date, acquisition_channel, account_type,
+             state, age_group, churned = 1 AS churned, churn_type FROM summary)"""
+
+
 def _statements() -> dict[str, str]:
     """Statements whose tables come from the staged / mart CTEs put in front of them."""
     reach = ("View_Portfolio", "Deposit", "Withdrawal")
@@ -502,14 +584,20 @@ SELECT * FROM (
         "churn_candidates": f"WITH_STAGED, {CANDIDATES} SELECT * FROM candidates",
         "sampled_candidates": f"WITH_STAGED, {CANDIDATES} SELECT * FROM chosen",
         "append_events": "SELECT event_id, user_id, event_type, event_date FROM ev",
-        "identify_payload": """
-SELECT *, CAST(TO_JSON({'user_id': user_id, 'user_properties': {'$set': {
-         'signup_date': signup_date, 'acquisition_channel': acquisition_channel,
-         'account_type': account_type, 'state': state, 'age_group': age_group,
-         'churned': churned, 'churn_type': churn_type}}}) AS VARCHAR) AS body
-FROM (SELECT 'user_' || user_id AS user_id, signup_date, acquisition_channel, account_type,
-             state, age_group, churned = 1 AS churned, churn_type FROM summary)""",
+        "identify_payload": IDENTIFY_PAYLOAD,
         "event_payload": EVENT_PAYLOAD,
+        "identify_requests": request_bodies(IDENTIFY_PAYLOAD, "user_id", "user_id", 100),
+        "event_request_bodies": request_bodies(
+            EVENT_PAYLOAD, "insert_id",
+            "user_id, event_type, time, platform, session_duration_sec, insert_id", 500,
+        ),
+        "export_digest": export_digest(),
+        "csv_users": "SELECT * FROM us",
+        "csv_transactions": "SELECT * FROM tx",
+        "csv_events": """
+SELECT event_id, user_id, event_date, CAST(event_date AS TIMESTAMP) AS event_ts, event_type, platform,
+       CAST(TRUNC(session_duration_sec) AS BIGINT) AS session_duration_sec FROM ev""",
+        "segment_combinations": segment_combinations(),
         "user_batches": full_batches("us", "user_id", 100),
         "event_batches": full_batches("ev", "event_id", 500),
         "event_requests": f"""

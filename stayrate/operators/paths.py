@@ -22,13 +22,15 @@ from stayrate.operators.skew import ROWS_PER_TASK, hot_keys, only_hot, without_h
 FACT = ("user_id", "event_id", "event_ts", "event_type")
 
 
-def _sliced(events: DataFrame, slices: int) -> DataFrame:
+def _sliced(events: DataFrame, slices: int | None = None) -> DataFrame:
     """Rows with the number of the range partition they sort into.
 
     The ranges are balanced over (user, time, id), so neither a burst nor many events on one
-    date makes a large slice. Their number follows from the rows, so none exceeds what a task may hold.
+    date makes a large slice. There are as many as shuffle partitions unless their number is given,
+    and those are sized to fit a task; adaptive execution merges small neighbours into one range.
     """
-    ranged = events.repartitionByRange(slices, "user_id", "event_ts", "event_id")
+    order = ("user_id", "event_ts", "event_id")
+    ranged = events.repartitionByRange(*([] if slices is None else [slices]), *order)
     return ranged.withColumn("slice", F.spark_partition_id())
 
 
@@ -57,8 +59,7 @@ def _ends_by_user(
     regular = regular.where(is_target).select("user_id", "event_id", "path")
 
     of_hot = only_hot(events, hot, "user_id")
-    slices = max(1, -(-of_hot.count() // rows_per_task))
-    inner = _with_previous(_sliced(of_hot, slices), depth, "user_id", "slice")
+    inner = _with_previous(_sliced(of_hot), depth, "user_id", "slice")
     is_edge = F.col("in_head") | F.col("in_tail")
     # All edges of a user share one window; finished targets ride along in their own slice.
     kept = inner.where(is_edge | is_target).select(

@@ -58,15 +58,29 @@ def json_lines(payload: DataFrame) -> DataFrame:
     return payload.select(F.to_json(F.struct("*"), JSON_OPTIONS).alias("value"))
 
 
-def request_bodies(payload: DataFrame, key: str, size: int) -> DataFrame:
+def request_bodies(
+    payload: DataFrame, key: str, size: int, seed: str | None = None
+) -> DataFrame:
     """One row per request: its number, its rows and their JSON array.
 
-    A group never exceeds ``size`` rows, so collecting it into one array is bounded.
+    A group never exceeds ``size`` rows, so collecting it into one array is bounded. With a ``seed``
+    which rows share a request follows from the MD5 of their keys, so a repeated run, here or
+    elsewhere, sends the same bodies.
     """
     row = F.struct(*payload.columns)
     return (
-        with_batches(payload, key, size)
+        with_batches(payload, key, size, seed=seed)
         .groupBy("batch_no")
         .agg(F.count(F.lit(1)).alias("n_rows"), F.sort_array(F.collect_list(row)).alias("rows"))
         .select("batch_no", "n_rows", F.to_json("rows", JSON_OPTIONS).alias("body"))
     )
+
+
+def identify_requests(summary: DataFrame, seed: str | None = None) -> DataFrame:
+    """Bodies that set the properties of all users, at most 100 users each."""
+    return request_bodies(identify_payload(summary), "user_id", USERS_PER_REQUEST, seed)
+
+
+def event_requests(events: DataFrame, seed: str | None = None) -> DataFrame:
+    """Bodies that deliver all events, at most 500 events each."""
+    return request_bodies(event_payload(events), "insert_id", EVENTS_PER_REQUEST, seed)

@@ -52,6 +52,19 @@ NOT_NULL = {
 }
 
 
+#: Checks by the start of their names that report and do not stop a run: facts of unknown users
+#: are expected, count in the totals of all facts and drop out per user.
+REPORTED = ("orphans:",)
+
+
+def stopping(report: DataFrame) -> DataFrame:
+    """The failed checks of a quality report that must stop a run."""
+    reported = F.lit(False)
+    for start in REPORTED:
+        reported = reported | F.col("check_name").startswith(start)
+    return report.where((F.col("status") == "fail") & ~reported)
+
+
 def check_unique(df: DataFrame, key: str) -> DataFrame:
     """Key values that occur more than once; NULL keys are left to the not-null check."""
     counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n_rows"))
@@ -187,6 +200,7 @@ def quality_report(
 
     ``tables`` holds the staging tables and marts by name; marts should be read from where they
     were written, as several checks use them. All NULL counts of a table come from one pass.
+    ``stopping`` tells which violations a run must not pass.
     """
 
     def counted(name: str, violations: DataFrame) -> DataFrame:

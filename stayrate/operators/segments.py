@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import combinations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -120,6 +121,50 @@ def segment_counts(events: DataFrame, users: DataFrame, dims: Sequence[str]) ->
     return totals[0] if len(totals) == 1 else totals[0].unionByName(totals[1])
 
 
+def segment_combinations(
+    events: DataFrame,
+    users: DataFrame,
+    dims: Sequence[str],
+    sets: Sequence[Sequence[str]] | None = None,
+) -> DataFrame:
+    """Events and distinct users per event type and combination of dimension values.
+
+    ``sets`` names the combinations, by default every non-empty one of ``dims``; they may hold event
+    and user columns. ``combination`` tells the rows apart, as ``platform & account_type``;
+    dimensions outside of it are NULL. Events are counted per user and own value first, so events
+    are read once and grouping sets expand these counts instead of events. A user with several
+    values of an event dimension counts once where that dimension is left out. Rows without a value
+    for a dimension of the combination, and events of unknown users where it has user columns, are
+    left out.
+    """
+    if sets is None:
+        sets = [c for n in range(1, len(dims) + 1) for c in combinations(dims, n)]
+    sets = list(dict.fromkeys(tuple(d for d in dims if d in s) for s in sets))
+    if not all(sets):
+        raise ValueError("a combination needs at least one of the dimensions")
+    event_dims = [d for d in dims if d in events.columns]
+    user_dims = [d for d in dims if d not in event_dims]
+    counted = (
+        events.where(F.col("user_id").isNotNull())
+        .groupBy("user_id", "event_type", *event_dims)
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    if user_dims:
+        counted = counted.join(users.select("user_id", *user_dims), "user_id", "left")
+    grouped = counted.groupingSets([["event_type", *s] for s in sets], "event_type", *dims).agg(
+        F.sum("n").alias("events"),
+        F.count_distinct("user_id").alias("users"),
+        *(F.grouping(d).alias(f"{d}_left_out") for d in dims),
+    )
+    present = F.lit(True)
+    for d in dims:
+        present = present & ((F.col(f"{d}_left_out") == 1) | F.col(d).isNotNull())
+    name = F.concat_ws(" & ", *(F.when(F.col(f"{d}_left_out") == 0, d) for d in dims))
+    return grouped.where(present).select(
+        name.alias("combination"), "event_type", *dims, "events", "users"
+    )
+
+
 def session_stats(events: DataFrame, summary: DataFrame) -> DataFrame:
     """Events and mean session length per event type and churn flag."""
     session = F.col("session_duration_sec")

@@ -3,15 +3,34 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from stayrate.functions.churn import INACTIVE_DAYS
 from stayrate.operators.cohorts import churn_cohort, churn_cohort_stacked, transaction_summary
-from stayrate.operators.quality import quality_report
+from stayrate.operators.quality import quality_report, stopping
 from stayrate.operators.rollups import user_summary
 from stayrate.operators.staging import stage
 from stayrate.sources.raw import read_raw
-from stayrate.sources.sinks import export_marts, materialise, publish_view, verify_outputs
+from stayrate.sources.sinks import (
+    export_marts,
+    materialise,
+    publish_view,
+    verify_contents,
+    verify_outputs,
+)
+
+
+def lazy_marts(
+    staged: dict[str, DataFrame], as_of, inactive_days: int = INACTIVE_DAYS
+) -> dict[str, DataFrame]:
+    """The staging tables and marts by name, defined only: nothing is written or published."""
+    summary = user_summary(**staged, as_of=as_of, inactive_days=inactive_days)
+    cohort = churn_cohort(summary)
+    return {f"stg_{name}": df for name, df in staged.items()} | {
+        "mart_user_summary": summary,
+        "mart_churn_cohort": cohort,
+        "mart_churn_cohort_stacked": churn_cohort_stacked(cohort),
+        "mart_transaction_summary": transaction_summary(staged["transactions"]),
+    }
 
 
 def build_marts(
@@ -49,11 +68,17 @@ def run(
     inactive_days: int = INACTIVE_DAYS,
     fmt: str = "csv",
 ) -> dict[str, DataFrame]:
-    """Read, build, check, export and verify. A failed check stops the run before the export."""
+    """Read, build, check, export and verify.
+
+    A failed check stops the run before the export, unless it only reports (``quality.REPORTED``).
+    The exports must hold the rows of the marts, value by value.
+    """
     tables = build_marts(read_raw(spark, raw_folder, fmt), mart_folder, as_of, inactive_days)
-    failed = quality_report(tables, inactive_days).where(F.col("status") == "fail").collect()
+    failed = stopping(quality_report(tables, inactive_days)).collect()
     if failed:
         names = ", ".join(f"{r.check_name} ({r.violations})" for r in failed)
         raise ValueError(f"quality checks failed: {names}")
-    verify_outputs(spark, export_marts(marts_only(tables), export_folder))
+    exports = export_marts(marts_only(tables), export_folder)
+    verify_outputs(spark, exports)
+    verify_contents(spark, exports, marts_only(tables))
     return tables

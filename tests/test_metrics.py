@@ -5,6 +5,7 @@ from decimal import Decimal
 
 import pytest
 from conftest import day, rows
+from pyspark.sql import functions as F
 
 from stayrate.operators import retention, segments, staging, triggers
 
@@ -172,3 +173,27 @@ def test_facts_with(make):
     got = segments.facts_with(events, users, "account_type")
     assert rows(got, "event_id", "account_type") == [(1, "Both"), (2, None), (3, None)]
     assert rows(staging.events_of_type(events, "Login", "Deposit"), "event_id") == [(1,), (2,), (3,)]
+
+
+def test_segment_combinations(make):
+    users = make.users((1, "2025-01-01"), (2, "2025-01-01", {"account": "Invest"}), (3, "2025-01-01", {"account": None}))
+    events = make.events(
+        (1, "2025-01-01", "Login"), (1, "2025-01-02", "Login"), (2, "2025-01-02", "Login"),
+        (3, "2025-01-02", "Login"), (9, "2025-01-02", "Deposit"), (None, "2025-01-02", "Login"),
+    )
+    mixed = events.withColumn("platform", F.expr("if(event_id in (2, 5), 'iOS', platform)"))
+    got = rows(segments.segment_combinations(mixed, users, ("platform", "account_type")))
+    assert got == sorted([
+        # user 1 has two platforms and counts once where the platform is left out
+        ("account_type", "Login", None, "Both", 2, 1), ("account_type", "Login", None, "Invest", 1, 1),
+        ("platform", "Deposit", "iOS", None, 1, 1),  # an unknown user has a platform, but no account
+        ("platform", "Login", "Web", None, 3, 3), ("platform", "Login", "iOS", None, 1, 1),
+        ("platform & account_type", "Login", "Web", "Both", 1, 1),
+        ("platform & account_type", "Login", "Web", "Invest", 1, 1),
+        ("platform & account_type", "Login", "iOS", "Both", 1, 1),
+    ], key=repr)
+    one = segments.segment_combinations(mixed, users, ("platform", "account_type"), [("account_type", "platform")])
+    assert rows(one) == [r for r in got if "&" in r[0]]
+    assert segments.segment_combinations(mixed.limit(0), users, ("platform",)).count() == 0
+    with pytest.raises(ValueError, match="at least one"):
+        segments.segment_combinations(mixed, users, ("platform",), [()])

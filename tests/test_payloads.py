@@ -72,6 +72,38 @@ def test_event_payload_and_requests(make):
     assert all(row in lines for row in sent)
 
 
+@pytest.mark.parametrize("rows_per_bucket", [1, 3, 50])
+@pytest.mark.parametrize("digits", [0, 1, 3])
+def test_positions_over_many_buckets(spark, digits, rows_per_bucket):
+    """A range with more rows than a bucket holds is cut; the order stays that of the hash."""
+    df = spark.range(700).withColumnRenamed("id", "user_id")
+    got = numbering.with_position(df, "user_id", digits=digits, seed="s", rows_per_bucket=rows_per_bucket)
+    found = [r.user_id for r in sorted(got.collect(), key=lambda r: r.position)]
+    assert found == in_hash_order(range(700), "s")
+
+
+def test_buckets_hold_no_more_than_they_should(spark):
+    df = spark.range(20_000).withColumnRenamed("id", "user_id")
+    hashed = numbering._hashed(df, "user_id", numbering._fast_bits("user_id"), 1)
+    placed = numbering._placed(hashed, 1, 200)
+    sizes = [r["count"] for r in placed.groupBy("_range", "_bucket").count().collect()]
+    assert sum(sizes) == 20_000 and max(sizes) < 300 and len(sizes) >= 100
+
+
+def test_identify_requests(make):
+    users = make.users(*[(i, "2025-06-14") for i in range(250)])
+    summary = user_summary(users, make.tx((1, "2026-05-01", 5)), make.events((1, "2026-05-01", "Login")), as_of="2026-05-05")
+    requests = payload.identify_requests(summary, seed="z").collect()
+    assert sorted((r.batch_no, r.n_rows) for r in requests) == [(0, 100), (1, 100), (2, 50)]
+    order = in_hash_order([f"user_{i}" for i in range(250)], "z")
+    for r in requests:
+        sent = json.loads(r.body)
+        assert sorted(u["user_id"] for u in sent) == sorted(order[100 * r.batch_no :][:100])
+        assert all(set(u["user_properties"]["$set"]) >= {"churned", "churn_type"} for u in sent)
+    lines = {r.value for r in payload.json_lines(payload.identify_payload(summary)).collect()}
+    assert {json.dumps(u) for r in requests for u in json.loads(r.body)} == {json.dumps(json.loads(x)) for x in lines}
+
+
 def test_cancellations(make):
     tx = make.tx((1, "2026-02-03", 5), (1, "2025-12-01", 5), (2, "2026-02-04", 5), (3, "2025-06-01", 5),
                  (4, "2025-06-02", 5), (None, "2020-01-01", 5))

@@ -11,7 +11,8 @@ from stayrate.operators import rollups, skew, staging
 from stayrate.sources import star
 
 SF = os.path.join(TESTDATA, "sf0.001")
-WRITES = {"exported_marts", "quality_report"}  # write marts while they are defined
+# write files while they are defined, as reading them back is what they are about
+WRITES = {"exported_marts", "export_digest", "csv_users", "csv_transactions", "csv_events"}
 
 
 def plan(df):
@@ -108,3 +109,20 @@ def test_paths_shuffle_users_once(tables):
     text = final_plan(entry_module.paths.paths_to(tables.events, ["Withdrawal"], 3))
     assert "Union" not in text
     assert re.findall(r"Exchange hashpartitioning\((\w+)#\d+L?, 8\)", text) == ["path", "user_id"]
+
+
+def test_combinations_read_events_once(tables):
+    text = final_plan(
+        entry_module.segments.segment_combinations(tables.events, tables.users, ("platform", "account_type"))
+    )
+    assert scans(text, "events") == 1 and text.count("Expand") == 1
+
+
+def test_paths_run_no_job_when_they_are_defined(spark, tables):
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("defined", "")
+    entry_module.paths.paths_to(tables.events, ["Withdrawal"], 3)
+    entry_module.quality.quality_report(tables.lazy())
+    found = tracker.getJobIdsForGroup("defined")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert list(found) == []

@@ -159,7 +159,12 @@ def test_paths(spark, depth, rows_per_task, dates_only):
     df = spark.createDataFrame(events, EVENTS)
     targets = ["Withdrawal", "Cancel_Account"]
     expected = expected_paths(events, targets, depth)
-    got = paths.path_ends(df, targets, depth, rows_per_task).collect()
+    # as many slices as partitions, unless adaptive execution merges the small ones
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", str(rows_per_task == 7).lower())
+    try:
+        got = paths.path_ends(df, targets, depth, rows_per_task).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     assert len(got) == len(expected)
     assert {r.event_id: r.path for r in got} == expected
 

@@ -6,9 +6,10 @@ from conftest import rows
 from pyspark.sql import types as T
 
 from stayrate import session
+from stayrate.operators import quality
 from stayrate.operators.staging import stage
 from stayrate.plans import marts, review
-from stayrate.sources import raw, sinks
+from stayrate.sources import digest, raw, sinks
 
 FILES = {
     "users": [
@@ -138,6 +139,54 @@ def test_outputs_are_verified(spark, tmp_path):
         sinks.verify_outputs(spark, {"mart_x": str(tmp_path / "absent.csv")})
 
 
+MIXED = "a long, b string, c decimal(18,2), d date, e double"
+
+
+def mixed(spark, *changes):
+    entries = [(i, f"x{i}", Decimal(i) / 4, dt.date(2025, 1, 1 + i % 9), i / 3) for i in range(40)]
+    entries += [(None, None, None, None, None), (7, "x7", Decimal("1.75"), dt.date(2025, 1, 8), 7 / 3)]
+    for row, column, value in changes:
+        entries[row] = (*entries[row][:column], value, *entries[row][column + 1 :])
+    return spark.createDataFrame(entries, MIXED)
+
+
+def test_digest_does_not_depend_on_order_but_on_every_cell(spark):
+    df = mixed(spark)
+    assert rows(digest.content_digest(df)) == rows(digest.content_digest(df.orderBy("e").repartition(7)))
+    assert digest.differences({"t": df}, {"t": df.repartition(3)}).count() == 0
+    for column, value in enumerate((99, "y", Decimal("0.01"), dt.date(2030, 1, 1), 0.5)):
+        changed = digest.differences({"t": df}, {"t": mixed(spark, (3, column, value))})
+        assert rows(changed) == [("t", "*"), ("t", "abcde"[column])]
+        lost = digest.differences({"t": df}, {"t": mixed(spark, (3, column, None))})
+        assert rows(lost) == [("t", "*"), ("t", "abcde"[column])]
+    # values that change places between rows differ in whole rows only
+    swapped = mixed(spark, (3, 1, "x4"), (4, 1, "x3"))
+    assert rows(digest.differences({"t": df}, {"t": swapped})) == [("t", "*")]
+    # a repeated row counts
+    assert digest.differences({"t": df}, {"t": df.dropDuplicates()}).count() == 6
+    assert rows(digest.differences({"t": df}, {"t": df.drop("b")})) == [("t", "*"), ("t", "b")]
+    assert rows(digest.content_digest(df.limit(0)), "n_rows", "digest") == [(0, "0")] * 6
+
+
+def test_changed_export_is_found(spark, tmp_path):
+    marts_in = {"mart_x": mixed(spark)}
+    paths = sinks.export_marts(marts_in, str(tmp_path / "good"))
+    sinks.verify_contents(spark, paths, marts_in)
+    paths = sinks.export_marts({"mart_x": mixed(spark, (5, 2, Decimal("9.99")))}, str(tmp_path / "bad"))
+    with pytest.raises(ValueError, match="mart_x.[*], mart_x.c$"):
+        sinks.verify_contents(spark, paths, marts_in)
+
+
+def test_orphans_are_reported_and_do_not_stop_the_run(spark, folder, tmp_path):
+    with open(folder / "transactions.csv", "a") as f:
+        f.write("4,99,2026-01-22,10.00,Recurring Deposit,Banking,0.0\n")
+    tables = marts.run(spark, str(folder), str(tmp_path / "m"), str(tmp_path / "e"), "2026-05-05")
+    report = {r.check_name: r.status for r in quality.quality_report(tables).collect()}
+    assert [name for name, status in report.items() if status == "fail"] == ["orphans:stg_transactions"]
+    counted = tables["mart_transaction_summary"].agg({"transaction_count": "sum"}).first()[0]
+    assert counted == 4 and tables["mart_user_summary"].count() == 3
+
+
 class Stub:
     """The parts of a session that name the shared folder."""
 
