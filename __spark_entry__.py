@@ -22,12 +22,14 @@ from pyspark.sql import types as T  # noqa: E402
 import oracles  # noqa: E402
 from stayrate.functions.transactions import round_up, signed_amount  # noqa: E402
 from stayrate.operators import cancellations as cancel  # noqa: E402
-from stayrate.operators import cohorts, funnel, numbering, paths, payload, quality  # noqa: E402
+from stayrate.operators import asof, band, cohorts, funnel, incremental, numbering  # noqa: E402
+from stayrate.operators import paths, payload, quality, sessions  # noqa: E402
 from stayrate.operators import retention as ret  # noqa: E402
 from stayrate.operators import rollups, segments, staging, triggers  # noqa: E402
 from stayrate.plans.marts import build_marts, lazy_marts, marts_only  # noqa: E402
 from stayrate.session import run_folder  # noqa: E402
 from stayrate.sources import digest, raw, sinks, star  # noqa: E402
+from stayrate.streaming import dedup, feed, lapses  # noqa: E402
 
 try:  # these files can be taken out; everything else works without them
     import corpus_pipeline
@@ -133,6 +135,61 @@ def _from_csv(name: str) -> Callable[[Tables], DataFrame]:
     return build
 
 
+def _bucketed_summary(t: Tables) -> DataFrame:
+    """The user summary from tables that were stored in buckets by user."""
+    folder = run_folder(t.spark, "bucketed")
+    unique = folder.rsplit("-", 1)[-1]
+    tables = {"users": t.users, "transactions": t.tx, "events": t.events}
+    stored = {
+        name: sinks.materialise_bucketed(f"{name}_{unique}", df, folder, "user_id")
+        for name, df in tables.items()
+    }
+    return rollups.user_summary(**stored, as_of=TX_AS_OF)
+
+
+def _arrived(t: Tables) -> incremental.DailyStore:
+    """All events in three arrivals: the early days, the later ones, then a third of the early ones
+    that come late."""
+    store = incremental.DailyStore(t.spark, run_folder(t.spark, "daily"))
+    early = F.coalesce(F.col("event_date") < "2024-01-15", F.lit(False))
+    late = early & F.coalesce(F.col("event_id") % 3 == 0, F.lit(False))
+    for name, rows in (("a", early & ~late), ("b", ~early), ("c", late)):
+        store.arrive(t.events.where(rows), name)
+    return store
+
+
+def _sketch_errors(t: Tables) -> DataFrame:
+    """Whether the sketches of all days, merged, stay within their errors of the exact numbers."""
+    found = _arrived(t).period("1970-01-01", "2100-01-01")
+    session = F.col("session_duration_sec").cast("double")
+    timed, ranks = F.count("session_duration_sec"), []
+    for p in (50, 90, 99):
+        at = F.col(f"session_p{p}")
+        below, up_to = F.count_if(session < at) / timed, F.count_if(session <= at) / timed
+        ranks.append(((below <= p / 100 + 0.01) & (up_to >= p / 100 - 0.01)).alias(f"p{p}_near"))
+    known, about = F.count_distinct("user_id"), F.max("users")
+    # One row per event type.
+    return t.events.join(F.broadcast(found), "event_type").groupBy("event_type").agg(
+        F.max("events").alias("events"),
+        F.count(F.lit(1)).alias("n"),
+        (F.abs(about - known) <= known * 0.06 + 1).alias("users_near"),
+        *ranks,
+    )
+
+
+def _streamed(t: Tables, kind: str, rows_of, again: str = "false") -> DataFrame:
+    """What a stream delivers in two runs, of the early events and of those that arrive afterwards:
+    the later ones, and early ones that are sent ``again``."""
+    folder = run_folder(t.spark, kind)
+    events = star.raw_events(t.spark, t.sf_dir)
+    first = F.coalesce(F.col("Event_Date") < "2024-01-15", F.lit(False))
+    for i, rows in enumerate((events.where(first), events.where(~first | F.expr(again)))):
+        rows.write.mode("append").parquet(f"{folder}/in/run={i}")
+        stream = feed.read_event_stream(t.spark, f"{folder}/in/run=*", "parquet", events.schema)
+        dedup.start_table(rows_of(stream), f"{folder}/out", f"{folder}/checkpoint").awaitTermination()
+    return t.spark.read.parquet(f"{folder}/out")
+
+
 def _flat_identify(t: Tables) -> DataFrame:
     rows = payload.identify_payload(t.summary)
     as_json = F.to_json(F.struct("*"), payload.JSON_OPTIONS).alias("body")
@@ -196,6 +253,12 @@ _QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "events_of_type": lambda t: staging.events_of_type(t.events, "Login", "Deposit").select(
         "event_id", "user_id", "event_type"
     ),
+    "streamed_events_once": lambda t: _streamed(
+        t, "once", lambda stream: dedup.once_each(stream, "60 days"), "Event_ID % 3 = 0"
+    ).select("event_id", "user_id", "event_type", "event_ts"),
+    "streamed_lapses": lambda t: _streamed(
+        t, "lapses", lambda stream: lapses.lapses(stream, 3, "Login", "1 day")
+    ),
     "ingest_window": lambda t: t.recent_events.select("event_id", "event_date"),
     # rollups and marts
     "tx_rollup": lambda t: rollups.tx_rollup(t.tx),
@@ -203,6 +266,9 @@ _QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "cancelled_users": lambda t: rollups.cancelled_users(t.events),
     "last_transaction": lambda t: rollups.last_transaction(t.tx),
     "user_summary": lambda t: t.summary,
+    "bucketed_user_summary": _bucketed_summary,
+    "incremental_rollup": lambda t: _arrived(t).rollup(),
+    "sketch_errors": _sketch_errors,
     "user_profile": lambda t: rollups.user_profile(t.summary, 42),
     "churn_cohort": lambda t: t.cohort,
     "churn_cohort_stacked": lambda t: cohorts.churn_cohort_stacked(t.cohort),
@@ -266,6 +332,21 @@ _QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "active_share": lambda t: ret.active_share(t.events, t.starters, "day"),
     "paths_to_withdrawal": lambda t: paths.paths_to(t.events, ["Withdrawal"], 3),
     "paths_to_cancel": lambda t: paths.paths_to(t.events, ["Cancel_Account"], 2),
+    "sessions": lambda t: sessions.sessions(t.events, 12 * 60),
+    "sessions_per_day": lambda t: sessions.sessions_per_day(t.events, 12 * 60),
+    "events_with_last_transaction": lambda t: asof.as_of(
+        t.events.select("event_id", "user_id", "event_ts"), t.tx, "user_id", "event_ts",
+        "transaction_date", "transaction_id", ("transaction_id", "transaction_date", "amount_usd"),
+    ),
+    "deposits_with_last_view": lambda t: asof.as_of(
+        staging.events_of_type(t.events, "Deposit").select("event_id", "user_id", "event_ts"),
+        staging.events_of_type(t.events, "View_Portfolio").selectExpr(
+            "event_id AS view_id", "user_id", "event_ts AS viewed_at", "platform"
+        ),
+        "user_id", "event_ts", "viewed_at", "view_id", ("view_id", "viewed_at", "platform"),
+        within="3 days",
+    ),
+    "deposits_after_logins": lambda t: band.followed_within(t.events, "Login", "Deposit", 48 * 60),
     "inactive_users": lambda t: triggers.inactive_users(t.events, t.users, "2024-01-20", 3),
     "stalled_at": lambda t: triggers.stalled_at(
         t.events, "View_Portfolio", "Deposit", EV_AS_OF, 48

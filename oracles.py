@@ -134,6 +134,8 @@ DECIMALS = {
     "check_amount_rules": _TX,
     "typed_amounts": _TX,
     "csv_transactions": _TX,
+    "events_with_last_transaction": "amount_usd",
+    "bucketed_user_summary": f"{_SUMS} running_balance",
     "staged_events": "session_duration_sec",
     "tx_rollup": f"{_SUMS} running_balance",
     "user_summary": f"{_SUMS} running_balance",
@@ -405,6 +407,19 @@ FROM (SELECT 'user_' || user_id AS user_id, signup_date, acquisition_channel, ac
              state, age_group, churned = 1 AS churned, churn_type FROM summary)"""
 
 
+SESSIONS = """
+SELECT user_id, CAST(session_no AS INTEGER) AS session_no, MIN(event_ts) AS session_start,
+       MAX(event_ts) AS session_end, COUNT(*) AS events,
+       EPOCH_US(MAX(event_ts)) // 1000 // 60000 - EPOCH_US(MIN(event_ts)) // 1000 // 60000 AS whole
+FROM (SELECT *, SUM(opens) OVER (PARTITION BY user_id ORDER BY event_ts, event_id
+                                 ROWS UNBOUNDED PRECEDING) AS session_no
+      FROM (SELECT *, CASE WHEN event_ts <= LAG(event_ts) OVER (
+                             PARTITION BY user_id ORDER BY event_ts, event_id) + INTERVAL 12 HOUR
+                           THEN 0 ELSE 1 END AS opens FROM ev))
+GROUP BY user_id, session_no"""
+SESSION_MINUTES = "(EPOCH_US(session_end) // 1000 - EPOCH_US(session_start) // 1000) // 60000"
+
+
 def _statements() -> dict[str, str]:
     """Statements whose tables come from the staged / mart CTEs put in front of them."""
     reach = ("View_Portfolio", "Deposit", "Withdrawal")
@@ -586,6 +601,47 @@ SELECT * FROM (
         "append_events": "SELECT event_id, user_id, event_type, event_date FROM ev",
         "identify_payload": IDENTIFY_PAYLOAD,
         "event_payload": EVENT_PAYLOAD,
+        "streamed_events_once": "SELECT event_id, user_id, event_type, event_ts FROM ev",
+        "streamed_lapses": f"""WITH_STAGED,
+clock AS (SELECT MAX(event_ts) FILTER (event_date < DATE '2024-01-15') - INTERVAL 1 DAY AS first_run,
+                 MAX(event_ts) - INTERVAL 1 DAY AS second_run FROM ev),
+early AS (SELECT user_id, MAX(event_date) AS last_event_date FROM ev {logins}
+          AND event_date < DATE '2024-01-15' GROUP BY user_id),
+every AS (SELECT user_id, MAX(event_date) AS last_event_date FROM ev {logins} GROUP BY user_id)
+SELECT user_id, last_event_date, last_event_date + 4 AS lapsed_on FROM early, clock
+WHERE CAST(last_event_date + 4 AS TIMESTAMP) < first_run
+UNION SELECT user_id, last_event_date, last_event_date + 4 FROM every, clock
+WHERE CAST(last_event_date + 4 AS TIMESTAMP) < second_run""",
+        "bucketed_user_summary": "SELECT * FROM summary",
+        "incremental_rollup": EVENT_ROLLUP,
+        "sketch_errors": """
+SELECT event_type, CAST(COUNT(*) AS BIGINT) AS events, COUNT(*) AS n, true AS users_near,
+       true AS p50_near, true AS p90_near, true AS p99_near
+FROM ev GROUP BY event_type""",
+        "sessions": f"SELECT * EXCLUDE (whole), {SESSION_MINUTES} AS minutes FROM ({SESSIONS})",
+        "sessions_per_day": f"""
+SELECT user_id, CAST(session_start AS DATE) AS session_day, COUNT(*) AS sessions,
+       CAST(SUM(events) AS BIGINT) AS events, MAX({SESSION_MINUTES}) AS longest_minutes
+FROM ({SESSIONS}) GROUP BY 1, 2""",
+        "events_with_last_transaction": """
+SELECT event_id, user_id, event_ts, transaction_id, transaction_date, amount_usd FROM (
+  SELECT e.event_id, e.user_id, e.event_ts, transaction_id, transaction_date, amount_usd,
+         ROW_NUMBER() OVER (PARTITION BY e.event_id ORDER BY transaction_date DESC, transaction_id DESC) AS place
+  FROM ev e LEFT JOIN tx ON tx.user_id = e.user_id AND transaction_date <= e.event_ts)
+WHERE place = 1""",
+        "deposits_with_last_view": """
+SELECT event_id, user_id, event_ts, view_id, viewed_at, platform FROM (
+  SELECT d.event_id, d.user_id, d.event_ts, v.event_id AS view_id, v.event_ts AS viewed_at, v.platform,
+         ROW_NUMBER() OVER (PARTITION BY d.event_id ORDER BY v.event_ts DESC, v.event_id DESC) AS place
+  FROM ev d LEFT JOIN ev v ON v.user_id = d.user_id AND v.event_type = 'View_Portfolio'
+    AND v.event_ts <= d.event_ts AND v.event_ts >= d.event_ts - INTERVAL 3 DAY
+  WHERE d.event_type = 'Deposit')
+WHERE place = 1""",
+        "deposits_after_logins": """
+SELECT d.event_id, MAX(d.user_id) AS user_id, COUNT(*) AS n_before, MAX(l.event_ts) AS latest_before
+FROM ev d JOIN ev l ON l.user_id = d.user_id AND l.event_type = 'Login'
+  AND l.event_ts <= d.event_ts AND l.event_ts >= d.event_ts - INTERVAL 48 HOUR
+WHERE d.event_type = 'Deposit' GROUP BY d.event_id""",
         "identify_requests": request_bodies(IDENTIFY_PAYLOAD, "user_id", "user_id", 100),
         "event_request_bodies": request_bodies(
             EVENT_PAYLOAD, "insert_id",

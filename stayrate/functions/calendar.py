@@ -41,6 +41,18 @@ def periods_between(start: Column, end: Column, grain: str) -> Column:
     return days if grain == "day" else F.call_function("div", days, F.lit(7)).cast("int")
 
 
+def epoch_micros(ts: Column) -> Column:
+    """Microseconds since 1970-01-01, reading the zone-less timestamp as UTC."""
+    ts = ts.cast("timestamp_ntz")
+    minutes = F.hour(ts) * 60 + F.minute(ts)
+    second = F.extract(F.lit("SECOND"), ts)
+    return (
+        F.unix_date(ts.cast("date")).cast("bigint") * 86_400_000_000
+        + minutes.cast("bigint") * 60_000_000
+        + (second * 1_000_000).cast("bigint")
+    )
+
+
 def epoch_millis(ts: Column) -> Column:
     """Milliseconds since 1970-01-01, reading the zone-less timestamp as UTC.
 
@@ -54,3 +66,8 @@ def epoch_millis(ts: Column) -> Column:
         + clock
         + F.floor(second * 1000).cast("bigint")
     )
+
+
+def stream_clock(ts: Column) -> Column:
+    """The zone-less timestamp, read as UTC, in the type that watermarks need."""
+    return F.timestamp_micros(epoch_micros(ts))

@@ -112,3 +112,23 @@ def verify_contents(
     if changed:
         names = ", ".join(sorted(f"{r.table_name}.{r.column_name}" for r in changed))
         raise ValueError(f"exports differ from their marts: {names}")
+
+
+def materialise_bucketed(
+    name: str, df: DataFrame, folder: str, key: str, buckets: int | None = None
+) -> DataFrame:
+    """Write a table hashed into buckets by ``key``, sorted by it inside each, and read it back.
+
+    Tables with the same key and number of buckets join and group by it without a shuffle, once
+    for every job that reads them. ``buckets`` defaults to the session's shuffle partitions, so a
+    bucket is as large as a partition of a shuffle of that table would be. ``name`` must be new in
+    the session's catalog; the files lie below ``folder``. The rows are dealt by key before they are
+    written, so there is one file per bucket and not one per bucket and task.
+    """
+    spark = df.sparkSession
+    count = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = os.path.join(folder, name)
+    dealt = df.repartition(count, F.col(key))
+    writer = dealt.write.format("parquet").bucketBy(count, key).sortBy(key)
+    writer.option("path", path).saveAsTable(name)
+    return spark.table(name)

@@ -12,7 +12,10 @@ from stayrate.sources import star
 
 SF = os.path.join(TESTDATA, "sf0.001")
 # write files while they are defined, as reading them back is what they are about
-WRITES = {"exported_marts", "export_digest", "csv_users", "csv_transactions", "csv_events"}
+WRITES = {
+    "exported_marts", "export_digest", "csv_users", "csv_transactions", "csv_events", "sketch_errors",
+    "bucketed_user_summary", "incremental_rollup", "streamed_events_once", "streamed_lapses",
+}
 
 
 def plan(df):
