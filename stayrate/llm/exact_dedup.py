@@ -3,7 +3,7 @@
 1. Local: every task combines its own equal texts (partial aggregation).
 2. Salted: digest groups are combined per salt, the salt being the input partition, so a text that
    fills a third of the table reaches each salt task at most once per input task.
-3. Global: the salt winners of a digest are combined.
+3. Global: the salt winners of a digest are combined. Rows find their winner by salt, too.
 
 The text itself is a grouping key of every stage, so it is the full content that is compared, not
 the digest. Rows are matched to their group by digest, a second hash and the length; should two
@@ -17,9 +17,12 @@ import string
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stayrate.llm.common import text_of
+from stayrate.llm.common import staged, text_of
 
 KEY = ("digest", "check", "size")
+#: A text is large if it has more than one in so many rows; there are at most as many such texts,
+#: whatever the table, so their keys are broadcast.
+LARGE = 4096
 
 
 def normalised(text_col: str) -> Column:
@@ -56,6 +59,21 @@ def winners(docs: DataFrame, id_col: str, text_col: str, salts: int) -> DataFram
     ).withColumn("group_size", F.when(F.col("texts") == 1, F.col("group_size")).otherwise(clash))
 
 
+def _salted(rows: DataFrame, best: DataFrame, salts: int) -> tuple[DataFrame, DataFrame]:
+    """Rows of large texts dealt to salts, and the winners of these texts once per salt.
+
+    Joined on key and salt, no task receives more than its share of a text that fills much of the
+    table. Such rows are alike and small when compressed, so their bytes would not show it.
+    """
+    share = best.agg(F.sum("group_size") / LARGE).scalar()
+    is_large = F.col("group_size") > share
+    large = best.where(is_large).select(*KEY, F.lit(True).alias("large"))
+    salt = F.when(F.col("large"), F.pmod(F.xxhash64("id"), F.lit(salts))).otherwise(0)
+    dealt = rows.join(F.broadcast(large), list(KEY), "left").withColumn("salt", salt.cast("int"))
+    every = F.when(is_large, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    return dealt.drop("large"), best.withColumn("salt", F.explode(every))
+
+
 def exact_groups(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", salts: int = 64
 ) -> DataFrame:
@@ -66,7 +84,9 @@ def exact_groups(
     other; a group of null ids only keeps one row, with a null keep_id. Other columns are ignored.
     """
     rows = _keyed(docs, id_col, text_col).groupBy(*KEY, "id").agg(F.count(F.lit(1)).alias("n"))
-    found = rows.join(winners(docs, id_col, text_col, salts), list(KEY))
+    best = staged(winners(docs, id_col, text_col, salts), "winners")
+    rows, best = _salted(rows, best, salts)
+    found = rows.join(best, [*KEY, "salt"])
     each = found.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("n").cast("int"))))
     return each.select(
         F.col("id").alias(id_col),
