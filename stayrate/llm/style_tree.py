@@ -314,14 +314,13 @@ def unimportant(
     the node above it at least half of the scale. That scale grows with the host, so inside an article
     the commonest content must also have a share of ``nearly_all``, and only it is cut (``same``).
     """
-    share = F.col("n") / F.col("m")
-    total = trees.groupBy(*NODE, "kind").agg(F.sum("n").alias("m"))
-    parts = trees.join(total, [*NODE, "kind"]).withColumn("h", -share * F.log(share))
-    entropy = F.sum("h") / F.log(F.greatest(F.max("m"), F.lit(2)))
+    # -Σ n/m log(n/m) = log m - Σ n log n / m: two sums, so nothing is joined back to the values.
+    m, n = F.sum("n"), F.col("n")
+    entropy = F.greatest(F.log(m) - F.sum(n * F.log(n)) / m, F.lit(0.0))
     weight = F.when(F.col("kind") == "content", of_content).otherwise(1 - of_content)
-    nodes = parts.groupBy(*NODE, "kind").agg(
-        entropy.alias("entropy"), F.max("m").alias("m"), F.max("guard").alias("guard"),
-        F.max(F.struct("n", "value")).alias("top"),
+    nodes = trees.groupBy(*NODE, "kind").agg(
+        (entropy / F.log(F.greatest(m, F.lit(2)))).alias("entropy"), m.alias("m"),
+        F.max("guard").alias("guard"), F.max(F.struct("n", "value")).alias("top"),
     )
     content = F.col("kind") == "content"
     nodes = nodes.groupBy(*NODE).agg(
