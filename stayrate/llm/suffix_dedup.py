@@ -10,7 +10,8 @@
    refinement (``suffix_array``), its common prefixes follow by Kasai's bound (``common_prefixes``),
    and a window is repeated if a neighbour in suffix order shares ``size`` bytes, or if its stretch
    occurs more than once.
-4. Hot keys, with more than ``most`` different stretches, are dealt to several shards. In each, equal
+4. Hot keys, with more than ``most`` different stretches or ``KEY_BYTES`` of them (long periodic
+   texts have few, but long ones), are dealt to several shards. In each, equal
    neighbours of the suffix order become one window; the distinct windows are cut at common borders of
    their hashes, and the slices of one range from all shards are merged in one task, which receives a
    window at most once per shard. The repeated ones return to their shards and mark the stretches.
@@ -36,6 +37,8 @@ BLOCK = 1 << 20
 BASE = np.uint64(0x9E3779B97F4A7C15)
 INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 SHARD_BYTES = 1 << 20
+#: Bytes of one key's stretches in a shard; a suffix array takes some 80 times as much.
+KEY_BYTES = 6 << 20
 
 
 # -- anchors ----------------------------------------------------------------------------------
@@ -400,9 +403,9 @@ def _same_windows(high: np.ndarray, low: np.ndarray) -> tuple[np.ndarray, np.nda
     return by, np.flatnonzero(new)
 
 
-def _hot(stretches: DataFrame, size: int, most: int) -> DataFrame:
-    """Repeated ranges of keys with too many stretches for one shard."""
-    count = F.ceil(F.col("different") / most)
+def _hot(stretches: DataFrame, size: int, most: int, key_bytes: int) -> DataFrame:
+    """Repeated ranges of keys with too many stretches for one shard, or too long ones."""
+    count = F.ceil(F.greatest(F.col("different") / most, F.col("n_bytes") / key_bytes))
     cut = stretches.select(
         "key", F.pmod(F.xxhash64("digest"), count).alias("shard"), "digest", "stretch", "n",
         count.alias("ranges"),
@@ -452,8 +455,18 @@ def _hot(stretches: DataFrame, size: int, most: int) -> DataFrame:
     return cut.groupBy("key", "shard").cogroup(back).applyInPandas(mark, FOUND)
 
 
-def _cleaned(held: DataFrame, places: DataFrame, with_text: bool) -> DataFrame:
-    """(doc, n_removed, n_spans, kept_sha256, kept_text) of documents with repeated ranges."""
+def _keep_short(data: bytes, gone: np.ndarray, least_words: int) -> None:
+    """Take back the marks of runs with fewer words."""
+    for begin, end in zip(*_ranges(gone, 1)):
+        if len(data[begin:end].split()) < least_words:
+            gone[begin:end] = False
+
+
+def _cleaned(held: DataFrame, places: DataFrame, with_text: bool, least_words: int) -> DataFrame:
+    """(doc, n_removed, n_spans, kept_sha256, kept_text) of documents with repeated ranges.
+
+    Ranges that, taken together where they touch, hold fewer than ``least_words`` words stay.
+    """
     ranges = places.groupBy("doc").agg(F.collect_set(F.struct("begin", "end")).alias("ranges"))
     rows = held.select("doc", "text").join(ranges, "doc")
     kind = held.schema["doc"].dataType.simpleString()
@@ -470,6 +483,8 @@ def _cleaned(held: DataFrame, places: DataFrame, with_text: bool) -> DataFrame:
                     np.add.at(edges, both[:, 0], 1)
                     np.add.at(edges, both[:, 1], -1)
                     gone = np.cumsum(edges[:-1]) > 0
+                    if least_words:
+                        _keep_short(data, gone, least_words)
                     columns[0].append(int(gone.sum()))
                     columns[1].append(int((np.diff(gone.astype(np.int8), prepend=0) == 1).sum()))
                     kept = np.frombuffer(data, np.uint8)[~gone].tobytes()
@@ -491,12 +506,22 @@ def _cleaned(held: DataFrame, places: DataFrame, with_text: bool) -> DataFrame:
 
 
 def changed(
-    docs: DataFrame, id_col: str, text_col: str, size: int, anchor: int, most: int, with_text: bool
+    docs: DataFrame,
+    id_col: str,
+    text_col: str,
+    size: int,
+    anchor: int,
+    most: int,
+    with_text: bool,
+    least_words: int = 0,
+    key_bytes: int = KEY_BYTES,
 ) -> DataFrame:
     """(doc, n_removed, n_spans, kept_sha256, kept_text) of the documents that lose something."""
     keyed = _keyed(docs, id_col, text_col)
     runs = _runs(keyed, size, anchor)
     twice = runs.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
+    # Written first: a join with an aggregate that shares its shuffle never splits a hot key.
+    twice = staged(twice, "twice")
     places = (
         runs.join(twice, "key", "left_semi")
         .groupBy("doc")
@@ -509,13 +534,18 @@ def changed(
         .agg(F.count(F.lit(1)).alias("n"))
     )
     distinct = staged(distinct, "stretches")
-    sizes = distinct.groupBy("key").agg(F.count(F.lit(1)).alias("different"))
-    hot_keys = staged(sizes.where(F.col("different") > most), "hot")
+    sizes = distinct.groupBy("key").agg(
+        F.count(F.lit(1)).alias("different"),
+        F.sum(F.octet_length("stretch").cast("long")).alias("n_bytes"),
+    )
+    # One stretch alone has nothing to be compared with elsewhere and stays in one piece.
+    large = (F.col("different") > most) | ((F.col("n_bytes") > key_bytes) & (F.col("different") > 1))
+    hot_keys = staged(sizes.where(large), "hot")
     cold = distinct
     found = []
     if hot_keys.head(1):
         cold = distinct.join(hot_keys, "key", "left_anti")
-        found.append(_hot(distinct.join(hot_keys, "key"), size, most))
+        found.append(_hot(distinct.join(hot_keys, "key"), size, most, key_bytes))
     dealt = cold.repartition("key").sortWithinPartitions("key")
     found.append(_in_shards(dealt, size))
     ranges = found[0] if len(found) == 1 else found[0].union(found[1])
@@ -527,7 +557,7 @@ def changed(
         (F.col("first") + F.col("begins")).alias("begin"),
         (F.col("first") + F.col("ends")).alias("end"),
     )
-    return _cleaned(held, back, with_text)
+    return _cleaned(held, back, with_text, least_words)
 
 
 def repeated_bytes(
@@ -537,6 +567,7 @@ def repeated_bytes(
     size: int = 400,
     anchor: int = 200,
     most: int = 8192,
+    key_bytes: int = KEY_BYTES,
 ) -> DataFrame:
     """One row per document: id, n_bytes, n_removed, n_spans, kept_sha256.
 
@@ -545,7 +576,7 @@ def repeated_bytes(
     whole; rows that repeat are documents of their own and so lose every window. Other columns are
     ignored.
     """
-    lost = changed(docs, id_col, text_col, size, anchor, most, False).select(
+    lost = changed(docs, id_col, text_col, size, anchor, most, False, 0, key_bytes).select(
         "doc", "n_removed", "n_spans", "kept_sha256"
     )
     text = F.col("text")
@@ -570,23 +601,27 @@ def without_repeats(
     size: int = 400,
     anchor: int = 200,
     most: int = 8192,
+    least_words: int = 0,
 ) -> DataFrame:
     """``docs`` with repeated bytes taken out of the text, and its length in ``chars_col`` renewed.
 
-    A character of which a removed range took some bytes only goes altogether. Documents without
-    any text left are dropped if they had some; null texts stay null.
+    A repeated passage is taken out if it has at least ``size`` bytes and ``least_words`` words. A
+    character of which a removed range took some bytes only goes altogether. Documents without
+    any text left are dropped if they had some; null texts stay null. Other columns may have any
+    names and types.
     """
     names = docs.columns
-    lost = changed(docs, id_col, text_col, size, anchor, most, True).select(
-        F.col("doc").alias("_doc"), F.col("kept_text").alias("_text")
-    )
+    lost = changed(docs, id_col, text_col, size, anchor, most, True, least_words)
+    lost = lost.where("n_removed > 0").select("doc", "kept_text")
     text = text_of(text_col)
-    doc = F.struct(F.col(id_col).alias("id"), F.xxhash64(text).alias("h")).alias("_doc")
-    joined = docs.select(*(F.col(f"`{c}`") for c in names), doc).join(lost, "_doc", "left")
-    joined = joined.where("_text IS NULL OR _text <> ''")
-    cleaned = F.coalesce(F.col("_text"), F.col(text_col))
-    out = joined.withColumn(text_col, cleaned)
+    doc = F.struct(F.col(id_col).alias("id"), F.xxhash64(text).alias("h")).alias("doc")
+    row = F.struct(*(F.col(f"`{c}`") for c in names)).alias("row")
+    joined = docs.select(doc, row).join(lost, "doc", "left")
+    joined = joined.where("kept_text IS NULL OR kept_text <> ''")
+    kept, was = F.col("kept_text"), {c: F.col("row").getField(c) for c in names}
+    now = dict(was)
+    now[text_col] = F.coalesce(kept, was[text_col])
     if chars_col in names:
-        renewed = F.when(F.col("_text").isNull(), F.col(chars_col)).otherwise(F.length(text_col))
-        out = out.withColumn(chars_col, renewed.cast(docs.schema[chars_col].dataType))
-    return out.select(*(F.col(f"`{c}`") for c in names))
+        renewed = F.when(kept.isNull(), was[chars_col]).otherwise(F.length(kept))
+        now[chars_col] = renewed.cast(docs.schema[chars_col].dataType)
+    return joined.select(*(c.alias(name) for name, c in now.items()))
