@@ -252,7 +252,8 @@ def _placed(ranked: DataFrame, table: np.ndarray) -> DataFrame:
             arrays = [*batch.columns, pa.array(sequence, pa.int64())]
             yield pa.RecordBatch.from_arrays(arrays, names=[*batch.schema.names, "sequence_id"])
 
-    names = ranked.select("id", "start", "length", "ids_crc32", "doc_tokens", "ids", "class", "rank")
+    kept = ["id", "start", "length", "ids_crc32", "doc_tokens", "ids", "class", "rank", "piece"]
+    names = ranked.select(*(c for c in kept if c in ranked.columns))
     schema = ", ".join(f"{n} {t}" for n, t in names.dtypes) + ", sequence_id long"
     return names.mapInArrow(run, schema)
 
@@ -271,9 +272,14 @@ def pack(
 
     A null or empty text has one piece, its end id. Rows that repeat are packed as often as they
     occur; other columns are ignored; no rows give no sequences. A sequence never exceeds ``size``.
+    Pieces are ranked and placed without their ids, which join their places once at the end.
     """
-    cut = staged(pieces(docs, path, size, end_id, id_col, text_col, with_ids), "pieces")
-    classed = cut.withColumn("class", F.ceil(F.col("length") / unit))
+    cut = pieces(docs, path, size, end_id, id_col, text_col, with_ids)
+    if with_ids:
+        cut = cut.withColumn("piece", F.monotonically_increasing_id())
+    cut = staged(cut, "pieces")
+    light = cut.withColumn("ids", F.lit(None).cast("array<int>")) if with_ids else cut
+    classed = light.withColumn("class", F.ceil(F.col("length") / unit))
     histogram = {r["class"]: r["count"] for r in classed.groupBy("class").count().collect()}
     table = intervals(patterns(histogram, size // unit))
     placed = _placed(_ranked(classed), table)
@@ -281,5 +287,8 @@ def pack(
     before = order.rowsBetween(Window.unboundedPreceding, -1)
     offset = F.coalesce(F.sum("length").over(before), F.lit(0)).alias("offset")
     names = ["start", "length", "ids_crc32", "doc_tokens", "sequence_id"]
-    more = ["ids"] if with_ids else []
-    return placed.select(F.col("id").alias(id_col), *names, offset, *more)
+    if not with_ids:
+        return placed.select(F.col("id").alias(id_col), *names, offset)
+    found = placed.select("piece", F.col("id").alias(id_col), *names, offset.alias("offset"))
+    whole = found.join(cut.select("piece", "ids"), "piece")
+    return whole.select(id_col, *names, "offset", "ids")
