@@ -1,8 +1,9 @@
 """Connected components by alternating large-star and small-star steps.
 
-Every step is a map-side combined minimum per node and a join back, so a node with very many
-neighbours costs no task more than its share (the engine splits the skewed side of the join). The
-edge list is written to the shared folder after each round; nothing is collected but two numbers.
+Every step is a map-side combined minimum per node, which is written out, and a join back. Beside a
+written table adaptive execution splits the edges of a node with very many neighbours; beside the
+aggregate itself, whose shuffle it would share, it does not. The edge list is written to the shared
+folder after each round; nothing is collected but two numbers.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from stayrate.llm.common import staged
 
 def _with_least(edges: DataFrame) -> DataFrame:
     """(u, v) with the least node among u and its neighbours."""
-    least = edges.groupBy("u").agg(F.min("v").alias("m"))
+    least = staged(edges.groupBy("u").agg(F.min("v").alias("m")), "least")
     return edges.join(least, "u").withColumn("m", F.least("m", "u"))
 
 

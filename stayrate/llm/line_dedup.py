@@ -216,7 +216,8 @@ def line_classes(
     )
     place = F.struct("doc", "number")
     first = classed.groupBy("class").agg(F.min(place).alias("first"), F.max(place).alias("last"))
-    shared = first.where("first <> last").select("class", "first")
+    # Written first, so that the join splits the lines of a class that fills much of the table.
+    shared = staged(first.where("first <> last").select("class", "first"), "shared")
     found = classed.join(shared, "class", "left")
     return found.select(
         F.col("doc"),
