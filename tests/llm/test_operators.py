@@ -15,6 +15,7 @@ import xxhash
 from conftest import TESTDATA
 from stayrate.llm import byte_bpe, co_training, exact_dedup, line_crf, line_dedup, packing, queries
 from stayrate.llm import simhash_near, style_tree, suffix_dedup, url_filter
+from stayrate.llm import components as components_module
 from stayrate.llm.components import components
 
 SF = f"{TESTDATA}/sf0.001"
@@ -213,6 +214,54 @@ def test_a_window_of_many_stretches_is_sent_once_per_shard(spark):
     assert many.count(sent.most_common(1)[0][0]) == 4
 
 
+def test_long_periodic_texts_are_split_by_bytes(spark):
+    """Few stretches, but long ones: the shards of their keys follow their bytes."""
+    texts = ["ab" * n for n in (400, 700, 900, 1000)] + ["=" * n for n in (300, 800, 801)] + ["x" + "yz" * 30]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    for key_bytes in (500, 1 << 20):
+        found = suffix_dedup.repeated_bytes(docs, size=32, anchor=16, key_bytes=key_bytes)
+        got = [tuple(r)[1:] for r in sorted(found.collect(), key=lambda r: r.doc_id)]
+        assert got == plain_repeats(texts, 32)
+
+
+SKEWED = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4k",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+}
+
+
+def test_edges_of_a_hot_node_are_split(spark):
+    """The node of a star that has a third of all edges, in the join beside a written table."""
+    edges = spark.range(1, 60_000).selectExpr("if(id % 3 = 0, 0, id - 1) AS u", "id AS v").repartition(8)
+    for name, value in SKEWED.items():
+        spark.conf.set(name, value)
+    try:
+        query = components_module._with_least(edges)._jdf.queryExecution()
+        query.executedPlan().executeCollect()
+        assert "skew=true" in query.executedPlan().toString()
+    finally:
+        for name in SKEWED:
+            spark.conf.unset(name)
+
+
+def test_rows_of_a_large_text_meet_their_winner_in_many_tasks(spark):
+    n = 100_000
+    docs = spark.range(n).selectExpr("id AS doc_id", "if(id % 3 = 0, 'copy', 'own ' || id) AS text")
+    best = exact_dedup.winners(docs, "doc_id", "text", 64)
+    rows = exact_dedup._keyed(docs, "doc_id", "text").select(*exact_dedup.KEY, "id")
+    dealt, winners = exact_dedup._salted(rows, best, 64)
+    largest = dealt.groupBy(*exact_dedup.KEY, "salt").count().agg({"count": "max"}).first()[0]
+    assert largest < 0.05 * n
+    assert winners.count() == best.count() + 63
+    groups = exact_dedup.exact_groups(docs).where("group_size > 1").collect()
+    assert len(groups) == 33_334 and {r.keep_id for r in groups} == {99_999}
+    assert [r.doc_id for r in groups if r.kept] == [99_999]
+
+
 def test_repeated_bytes_of_odd_rows(spark, odd, nothing):
     expected = plain_repeats([r[1] or "" for r in ODD], 400)
     got = as_written(suffix_dedup.repeated_bytes(odd))
@@ -568,6 +617,27 @@ def test_articles_of_the_test_pages(spark):
         assert found[page_id].n_chars == len(found[page_id].text)
 
 
+def test_importance_is_that_of_plain_entropies(spark):
+    rng = np.random.default_rng(9)
+    entries = [
+        ("h", int(p), int(p) // 3, kind, int(v))
+        for p in range(1, 9) for kind in ("content", "style") for v in rng.integers(0, 1 + p, 12)
+    ]
+    schema = "host string, path long, above long, guard int, kind string, value long"
+    frame = spark.createDataFrame([(h, p, a, style_tree.FREE, k, v) for h, p, a, k, v in entries], schema)
+    counts = frame.groupBy(*style_tree.NODE, "kind", "value").agg({"guard": "max", "*": "count"})
+    counts = counts.withColumnsRenamed({"max(guard)": "guard", "count(1)": "n"})
+    importance = defaultdict(float)
+    for p in range(1, 9):
+        for kind, weight in (("content", 0.9), ("style", 0.1)):
+            n = np.array(list(Counter(v for _, q, _, k, v in entries if (q, k) == (p, kind)).values()))
+            importance[p] += weight * -(n / 12 * np.log(n / 12)).sum() / np.log(12)
+    for least in (0.3, 0.5, 0.7):
+        expected = {p for p in range(1, 9) if importance[p] < least and importance.get(p // 3, 0) >= 0.5}
+        cut = [set(r.cut) for r in style_tree.unimportant(counts, least, 8).collect()]
+        assert cut == ([expected] if expected else [])
+
+
 def test_branches_that_all_pages_share_are_cut(spark):
     rows = [
         (i, "http://a.org/x", f"<article><p>text {i} here<p>more {i}<div class=x>Same <b>on</b> all</div></article>")

@@ -1,14 +1,15 @@
 """The stages against plain versions of the same decisions, each on its own input."""
 
-import hashlib
 import itertools
+import random
 import zlib
+from collections import Counter
 
 import corpus_pipeline
 import numpy as np
 from conftest import TESTDATA
 from stayrate.llm import co_training
-from test_operators import LOWER, ODD, check_packing, classes_of, plain_fingerprint, plain_repeats
+from test_operators import LOWER, ODD, check_packing, classes_of, plain_fingerprint
 
 SF = f"{TESTDATA}/sf0.001"
 
@@ -17,6 +18,50 @@ def by_id(df):
     return {r.doc_id: r for r in df.collect()}
 
 
+def plain_passages(texts, size, least_words):
+    """The texts without repeated strings of ``size`` bytes that together hold ``least_words`` words."""
+    data = {d: t.encode() for d, t in texts.items()}
+    counts = Counter(x[i : i + size] for x in data.values() for i in range(len(x) - size + 1))
+    out = {}
+    for d, x in data.items():
+        gone = np.zeros(len(x) + 1, bool)
+        for i in range(len(x) - size + 1):
+            if counts[x[i : i + size]] > 1:
+                gone[i : i + size] = True
+        edges = np.flatnonzero(np.diff(gone.astype(int), prepend=0)).tolist()
+        for begin, end in zip(edges[::2], edges[1::2]):
+            if len(x[begin:end].split()) < least_words:
+                gone[begin:end] = False
+        out[d] = np.frombuffer(x, np.uint8)[~gone[:-1]].tobytes().decode("utf-8", "ignore")
+    return out
+
+
+def test_passages_of_over_fifty_words_leave_both_documents(spark):
+    rng = random.Random(6)
+
+    def words(n, letters="abcdefghijklmnopqrstuvwxyzé"):
+        return " ".join("".join(rng.choice(letters) for _ in range(rng.randrange(3, 9))) for _ in range(n))
+
+    long, short = words(55), words(45)
+    rows = [(i, words(80) + "\n" + (long if i < 2 else short) + "\n" + words(60), {"k": i}, "d", "t") for i in range(4)]
+    rows += [(4, words(200), None, "d", None), (5, None, None, "d", "t"), (None, words(60), None, "d", "t")]
+    # names that the operator might use itself, and a type that cannot be grouped
+    docs = spark.createDataFrame(rows, "doc_id long, text string, extra map<string,long>, _doc string, _text string")
+    out = corpus_pipeline.repeats(spark, docs, SF)
+    assert out.schema.names == docs.schema.names
+    found = {r.doc_id: r for r in out.collect()}
+    assert len(found) == len(rows)
+    for i, text, extra, *_ in rows:
+        kept = found[i].text
+        if i in (0, 1):
+            # equal bytes beside the passage, such as the line breaks, go with it
+            assert len(set(long.split()) & set(kept.split())) <= 1
+            assert 0 <= len(text) - len(kept) - len(long) <= 8
+        else:
+            assert kept == text
+        assert found[i].extra == extra and found[i]._doc == "d"
+
+
 def test_stages(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     stages = dict(corpus_pipeline.STAGES)
@@ -41,16 +86,15 @@ def test_stages(spark):
 
     cut = stages["repeats"](spark, near, SF)
     before, after = by_id(near), by_id(cut)
-    for (doc_id, r), plain in zip(before.items(), plain_repeats([r.text for r in before.values()], 400)):
-        if plain[1] == plain[0] > 0:
+    plain = plain_passages({d: r.text for d, r in before.items()}, 200, 51)
+    for doc_id, r in before.items():
+        if plain[doc_id] == "" != r.text:
             assert doc_id not in after
-        elif plain[1] == 0:
+        elif plain[doc_id] == r.text:
             assert after[doc_id] == r
         else:
-            text = after[doc_id].text
-            assert after[doc_id].n_chars == len(text)
-            whole = hashlib.sha256(text.encode()).hexdigest() == plain[3]
-            assert whole or len(text.encode()) < plain[0] - plain[1]
+            assert after[doc_id].text == plain[doc_id]
+            assert after[doc_id].n_chars == len(plain[doc_id])
 
     packed = stages["packed"](spark, cut, SF).collect()
     check_packing(packed, {d: r.text for d, r in after.items()}, 4096)
