@@ -20,6 +20,11 @@ from stayrate.llm import co_training, exact_dedup, packing, simhash_near, suffix
 from stayrate.llm.common import staged, table  # noqa: E402
 
 
+#: The stage ``repeats`` takes out passages of at least so many bytes (found by anchors of half that
+#: length) and words. Fifty-one words of running text are some 290 bytes; 200 leave room for short words.
+REPEAT_BYTES, REPEAT_WORDS = 200, 51
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the co-trained classifier does not reject."""
     return co_training.keep_good(docs, table(spark, sf_dir, "labels"))
@@ -36,8 +41,13 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the passages that stand anywhere else too."""
-    return suffix_dedup.without_repeats(docs)
+    """Texts without the passages of over 50 words that stand anywhere else too.
+
+    Shorter passages, such as stock phrases, stay. A text of which nothing is left goes.
+    """
+    return suffix_dedup.without_repeats(
+        docs, size=REPEAT_BYTES, anchor=REPEAT_BYTES // 2, least_words=REPEAT_WORDS
+    )
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
