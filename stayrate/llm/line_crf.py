@@ -2,13 +2,16 @@
 
 The CRF marks each line as content or boilerplate; Viterbi decoding finds the best sequence of
 marks. A document that passes the base rules is kept if enough of its words stand in content lines.
-The weights are trained on a bounded sample of labelled documents: every line of a document of poor
-quality counts as boilerplate, every other line as content, and the exact gradient of the chain's
-likelihood (forward-backward) is followed for a fixed number of steps.
+The weights are trained on a bounded sample of labelled documents, cut into chains of lines: lines of
+documents of poor quality count as boilerplate, others as content. As many chains again are spliced:
+a run of lines of one kind stands at a known place among lines of the other, so marks change inside a
+chain and the weights of neighbouring marks are learnt from changes too. The exact gradient of the
+chains' likelihood (forward-backward) is followed for a fixed number of steps.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -27,6 +30,7 @@ CONTENT, BOILERPLATE = 0, 1
 FEATURES = (
     "bias", "few words", "many words", "symbols", "digits", "capitals", "repeated words",
     "one word over and over", "sentence end", "words too short", "words too long", "bars",
+    "stands again in the text", "short and stands again",
 )
 #: Lines per training sequence; longer documents give several.
 CHAIN = 32
@@ -61,7 +65,7 @@ class LineCrf:
 NEUTRAL = LineCrf(np.zeros((len(FEATURES), 2)), np.zeros(2), np.zeros((2, 2)))
 
 
-def line_features(line: bytes, words: list[bytes]) -> tuple[float, ...]:
+def line_features(line: bytes, words: list[bytes], again: bool) -> tuple[float, ...]:
     size, n = len(line), len(words)
     rare = len(set(words))
     top = max(map(words.count, set(words[:3]))) if n else 0
@@ -79,38 +83,62 @@ def line_features(line: bytes, words: list[bytes]) -> tuple[float, ...]:
         float(mean < 3),
         float(mean > 10),
         min(1.0, 8 * line.count(b"|") / size),
+        float(again),
+        float(again and n < 10),
     )
 
 
 def cut_lines(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     """Features and word counts of the lines that have words."""
     rows, counts = [], []
-    for line in data.split(b"\n"):
+    lines = data.split(b"\n")
+    times = Counter(lines)
+    for line in lines:
         if words := line.split():
-            rows.append(line_features(line, words))
+            rows.append(line_features(line, words, times[line] > 1))
             counts.append(len(words))
     return np.array(rows).reshape(-1, len(FEATURES)), np.array(counts, np.int64)
 
 
 # -- training ---------------------------------------------------------------------------------
-def train(texts: list[str], poor: list[bool], steps: int = 80, rate: float = 0.3) -> LineCrf:
-    """Maximum likelihood by Adam on exact gradients; without both kinds of text, NEUTRAL."""
+def spliced(chains: list[np.ndarray], poor: list[bool]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """For every chain another one, into which a run of lines of the other kind is put, and its marks."""
+    rng = np.random.default_rng(17)
+    kinds = {kind: [c for c, p in zip(chains, poor) if p == kind] for kind in (False, True)}
+    out, marks = [], []
+    for chain, bad in zip(chains, poor):
+        others = kinds[not bad]
+        other = others[rng.integers(len(others))]
+        start = rng.integers(len(other))
+        run = other[start : start + rng.integers(1, CHAIN // 2 + 1)]
+        at = rng.integers(len(chain) + 1)
+        out.append(np.concatenate((chain[:at], run, chain[at:])))
+        mark = np.full(len(out[-1]), int(bad))
+        mark[at : at + len(run)] = int(not bad)
+        marks.append(mark)
+    return out, marks
+
+
+def train(chains: list[np.ndarray], poor: list[bool], steps: int = 80, rate: float = 0.3) -> LineCrf:
+    """Maximum likelihood by Adam on exact gradients; without both kinds of chains, NEUTRAL.
+
+    Chains of content, chains of boilerplate and spliced ones weigh a third each.
+    """
     if not any(poor) or all(poor):
         return NEUTRAL
-    chains, marks = [], []
-    for text, bad in zip(texts, poor):
-        features, _ = cut_lines(text.encode("utf-8", "replace"))
-        for at in range(0, len(features), CHAIN):
-            chains.append(features[at : at + CHAIN])
-            marks.append(int(bad))
+    mixed, mixed_marks = spliced(chains, poor)
+    group = np.concatenate((np.array(poor, int), np.full(len(mixed), 2)))
+    marks = [np.full(len(c), int(p)) for c, p in zip(chains, poor)] + mixed_marks
+    chains = chains + mixed
     longest = max(map(len, chains))
     x = np.zeros((len(chains), longest, len(FEATURES)))
     real = np.zeros((len(chains), longest), bool)
+    y = np.zeros((len(chains), longest), int)
     for i, chain in enumerate(chains):
         x[i, : len(chain)] = chain
         real[i, : len(chain)] = True
-    y = np.array(marks)
-    weight = np.where(y == 1, 0.5 / max(1, (y == 1).sum()), 0.5 / max(1, (y == 0).sum()))
+        y[i, : len(chain)] = marks[i]
+    weight = 1 / (3 * np.bincount(group)[group])
     model = [NEUTRAL.emit.copy(), NEUTRAL.first.copy(), NEUTRAL.follow.copy()]
     mean = [np.zeros_like(m) for m in model]
     square = [np.zeros_like(m) for m in model]
@@ -125,7 +153,7 @@ def train(texts: list[str], poor: list[bool], steps: int = 80, rate: float = 0.3
 
 
 def _gradient(x, real, y, weight, emit, first, follow) -> list[np.ndarray]:
-    """Of the weighted log-likelihood when all lines of chain i carry mark y[i]."""
+    """Of the weighted log-likelihood when line t of chain i carries mark y[i, t]."""
     scores = x @ emit
     n, length, _ = x.shape
     forward, backward = np.zeros((n, length, 2)), np.zeros((n, length, 2))
@@ -138,9 +166,7 @@ def _gradient(x, real, y, weight, emit, first, follow) -> list[np.ndarray]:
         backward[:, t] = np.where(real[:, t + 1, None], np.logaddexp.reduce(out, axis=2), 0)
     total = np.logaddexp.reduce(forward[:, -1], axis=1)
     marginal = np.exp(forward + backward - total[:, None, None]) * real[..., None]
-    gold = np.zeros((n, length, 2))
-    gold[np.arange(n), :, y] = 1
-    gold *= real[..., None]
+    gold = (y[..., None] == np.arange(2)) * real[..., None]
     excess = (gold - marginal) * weight[:, None, None]
     both = real[:, 1:]
     pair = np.exp(
@@ -150,20 +176,43 @@ def _gradient(x, real, y, weight, emit, first, follow) -> list[np.ndarray]:
         - total[:, None, None, None]
     )
     expected = (pair * (both * weight[:, None])[..., None, None]).sum(axis=(0, 1))
-    seen = np.zeros((2, 2))
-    for mark in (0, 1):
-        seen[mark, mark] = (both.sum(axis=1) * weight)[y == mark].sum()
+    pairs = (2 * y[:, :-1] + y[:, 1:])[both]
+    weights = np.broadcast_to(weight[:, None], both.shape)[both]
+    seen = np.bincount(pairs, weights, 4).reshape(2, 2)
     return [np.einsum("ntf,ntm->fm", x, excess), excess[:, 0].sum(axis=0), seen - expected]
 
 
 def fit(
-    docs: DataFrame, labels: DataFrame, rows: int = 1500, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame,
+    labels: DataFrame,
+    rows: int = 1500,
+    chains: int = 6000,
+    id_col: str = "doc_id",
+    text_col: str = "text",
 ) -> LineCrf:
-    """Train on at most ``rows`` labelled documents of at most 20,000 characters."""
-    named = docs.select(F.col(id_col), F.col(text_col).alias("text"))
-    sample = labelled_sample(named, labels, "quality", rows, id_col, ["text"]).collect()
-    sample = sorted((r for r in sample if r["text"].strip()), key=lambda r: r["id"])
-    return train([r["text"] for r in sample], [r["y"] == 0 for r in sample])
+    """Train on at most ``chains`` chains of at most ``rows`` labelled documents (by hashes of id and
+    place). Whole texts are cut by the executors; the driver sees the features of the chosen chains."""
+    named = docs.select(F.col(id_col), text_of(text_col).alias("text"))
+    sample = labelled_sample(named, labels, "quality", rows, id_col, ["text"])
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for doc, y, text in zip(*(c.to_pylist() for c in batch.columns)):
+                features, _ = cut_lines(text.encode("utf-8", "surrogatepass"))
+                parts = [features[at : at + CHAIN].ravel() for at in range(0, len(features), CHAIN)]
+                if parts:
+                    arrays = [[doc] * len(parts), [y] * len(parts), range(len(parts)), parts]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(a, t) for a, t in zip(arrays, types)], names=["id", "y", "k", "chain"]
+                    )
+
+    types = [pa.string(), pa.int32(), pa.int64(), pa.list_(pa.float64())]
+    rows_of = sample.select(F.col("id").cast("string"), "y", "text")
+    found = rows_of.mapInArrow(cut, "id string, y int, k long, chain array<double>")
+    chosen = found.orderBy(F.xxhash64("id", "k"), "id", "k").limit(chains).collect()
+    chosen.sort(key=lambda r: (r["id"], r["k"]))
+    cut_chains = [np.array(r["chain"]).reshape(-1, len(FEATURES)) for r in chosen]
+    return train(cut_chains, [r["y"] == 0 for r in chosen])
 
 
 # -- scoring ----------------------------------------------------------------------------------
