@@ -8,7 +8,9 @@ odd). The levels travel as literals inside the expression, so pages meet no join
 
 The levels take about 1.44 log2(universe / listed) bits per listed key in the first and a few bits
 in the others: they grow with the list, and only with the logarithm of the corpus. ``max_bytes``
-checks that size; beyond it the hosts are answered by a join with the written list instead.
+checks that size. Beyond it the keys are dealt by hash over as many shards as it takes, each with a
+cascade of its own that is as exact over its share of the universe; pages are written by shard once,
+and every shard's pages are answered by that shard's levels alone, still without a join.
 """
 
 from __future__ import annotations
@@ -24,8 +26,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stayrate.llm.common import staged
+from stayrate.session import run_folder
 
 WORD = 64
+#: Levels after the first take about as many bits again as the first.
+ALL_LEVELS = 2.5
 
 
 @dataclass(frozen=True)
@@ -69,16 +74,29 @@ def _shape(inside: int, outside: int) -> tuple[int, int]:
     return max(WORD, WORD * math.ceil(bits / WORD)), max(1, round(math.log2(1 / rate)))
 
 
+def known_keys(universe: DataFrame) -> DataFrame:
+    """Every key of (key, listed) once; a key listed once is listed, null keys are left out."""
+    keys = universe.where("key IS NOT NULL").groupBy("key").agg(F.max("listed").alias("listed"))
+    return staged(keys, "universe")
+
+
+def _sizes(keys: DataFrame) -> tuple[int, int]:
+    """Numbers of listed and of other keys."""
+    sizes = {r["listed"]: r["count"] for r in keys.groupBy("listed").count().collect()}
+    return sizes.get(True, 0), sizes.get(False, 0)
+
+
 def cascade(universe: DataFrame, max_bytes: int = 8 << 20) -> list[Level] | None:
     """The levels for a universe of (key, listed); None if they would be larger than allowed.
 
     Keys may repeat; a key listed once is listed. Null keys are left out.
     """
-    keys = universe.where("key IS NOT NULL").groupBy("key").agg(F.max("listed").alias("listed"))
-    keys = staged(keys, "universe")
-    sizes = {r["listed"]: r["count"] for r in keys.groupBy("listed").count().collect()}
+    return _levels(known_keys(universe), max_bytes)
+
+
+def _levels(keys: DataFrame, max_bytes: int) -> list[Level] | None:
     inside, outside = keys.where("listed"), keys.where("NOT listed")
-    n_in, n_out = sizes.get(True, 0), sizes.get(False, 0)
+    n_in, n_out = _sizes(keys)
     levels: list[Level] = []
     size = 0
     while n_in:
@@ -103,6 +121,64 @@ def listed(key: Column, levels: Sequence[Level]) -> Column:
     return answer
 
 
+def _shard(key: Column, shards: int) -> Column:
+    return F.pmod(F.xxhash64(key, F.lit("shard")), F.lit(shards)).cast("int")
+
+
+def _by_shard(rows: DataFrame, key: str, shards: int, purpose: str) -> str:
+    """Write ``rows`` in one folder per shard of ``key``. Rows of a shard, even those of one key,
+    are ranges of row hashes, so a shard that holds most rows is many tasks and files."""
+    path = run_folder(rows.sparkSession, purpose)
+    rows = rows.withColumn("_shard", _shard(F.col(key), shards)).withColumn("_salt", F.xxhash64(*rows.columns))
+    rows = rows.repartitionByRange("_shard", "_salt").drop("_salt")
+    rows.write.partitionBy("_shard").parquet(path)
+    return path
+
+
+def _answered(rows: DataFrame, key: str, keys: DataFrame, shards: int, max_bytes: int) -> DataFrame | None:
+    """``_listed`` for rows by one cascade per shard of keys; None if one of these is too large.
+
+    The driver holds the levels of one shard at a time.
+    """
+    spark = rows.sparkSession
+    keys_path = _by_shard(keys, "key", shards, "keys")
+    rows_path = _by_shard(rows, key, shards, "rows")
+    all_keys = spark.read.schema(f"{_ddl(keys)}, _shard int").parquet(keys_path)
+    all_rows = spark.read.schema(f"{_ddl(rows)}, _shard int").parquet(rows_path)
+    out = run_folder(spark, "answers")
+    for shard in range(shards):
+        levels = _levels(all_keys.where(F.col("_shard") == shard).drop("_shard"), max_bytes)
+        if levels is None:
+            return None
+        part = all_rows.where(F.col("_shard") == shard).drop("_shard")
+        part.withColumn("_listed", listed(F.col(key), levels)).write.mode("append").parquet(out)
+    return spark.read.schema(f"{_ddl(rows)}, _listed boolean").parquet(out)
+
+
+def _ddl(df: DataFrame) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
+
+
+def with_listed(rows: DataFrame, key: str, universe: DataFrame, max_bytes: int = 8 << 20) -> DataFrame:
+    """``rows`` with ``_listed``: whether ``key``, which must be in the universe, is listed.
+
+    No level set is larger than ``max_bytes``: beyond it there is one for each shard of keys.
+    """
+    keys = known_keys(universe)
+    n_in, n_out = _sizes(keys)
+    shards = max(1, math.ceil(ALL_LEVELS * _shape(n_in, n_out)[0] / 8 / max_bytes)) if n_in else 1
+    if shards == 1:
+        levels = _levels(keys, max_bytes)
+        if levels is not None:
+            return rows.withColumn("_listed", listed(F.col(key), levels))
+    while shards <= n_in:
+        shards *= 2
+        found = _answered(rows, key, keys, shards, max_bytes)
+        if found is not None:
+            return found
+    raise ValueError(f"max_bytes={max_bytes} is too small for a single key")
+
+
 # -- urls and rules ---------------------------------------------------------------------------
 def host_of(url: str) -> Column:
     """After the first ``://`` up to ``/``, ``?``, ``#`` or the end, A-Z lower-cased."""
@@ -139,12 +215,11 @@ def candidates(rules: Sequence[tuple[str, str, str]], host: str, path: str) -> C
 
 @dataclass(frozen=True)
 class UrlFilter:
-    """Rules and a host list, ready to be applied to any part of the corpus they were built for."""
+    """Rules, ready to be applied to any part of the corpus they were built for."""
 
     rules: tuple[tuple[str, str, str], ...]
     rule_keys: tuple[Level, ...]
     block_keys: tuple[Level, ...]
-    hosts: tuple[Level, ...] | None
 
     def rule(self, host: str, path: str) -> Column:
         """The longest fitting rule, as ``host`` + ``path``; else null."""
@@ -165,9 +240,9 @@ def split_urls(pages: DataFrame, id_col: str, url_col: str) -> DataFrame:
 
 
 def build_filter(
-    urls: DataFrame, rules: Sequence[tuple[str, str, str]], hosts: DataFrame, max_bytes: int = 8 << 20
+    urls: DataFrame, rules: Sequence[tuple[str, str, str]], max_bytes: int = 8 << 20
 ) -> UrlFilter:
-    """``urls`` has host and path of the whole corpus, ``hosts`` the listed hosts in ``host``."""
+    """``urls`` has host and path of the whole corpus."""
     spark = urls.sparkSession
     rows = [
         F.struct(F.lit(h + p).alias("key"), F.lit(verdict == "block").alias("block"))
@@ -179,12 +254,9 @@ def build_filter(
     no = F.lit(False).alias("listed")
     rule_keys = cascade(keys.select("key", no).union(known.select("key", F.lit(True))), max_bytes)
     block_keys = cascade(known.select("key", F.col("block").alias("listed")), max_bytes)
-    of_corpus = urls.select(F.col("host").alias("key"), no)
-    host_keys = cascade(of_corpus.union(hosts.select("host", F.lit(True))), max_bytes)
     if rule_keys is None or block_keys is None:
         raise ValueError("rules come from the driver and must fit into max_bytes")
-    known_hosts = None if host_keys is None else tuple(host_keys)
-    return UrlFilter(tuple(rules), tuple(rule_keys), tuple(block_keys), known_hosts)
+    return UrlFilter(tuple(rules), tuple(rule_keys), tuple(block_keys))
 
 
 def judge_urls(
@@ -203,13 +275,9 @@ def judge_urls(
     other columns are ignored; an empty table gives no rows.
     """
     urls = split_urls(pages, id_col, url_col)
-    built = build_filter(urls, rules, hosts, max_bytes)
-    found = urls.withColumn("rule", built.rule("host", "path"))
-    if built.hosts is None:
-        marked = hosts.select("host", F.lit(True).alias("on_list")).distinct()
-        found = found.join(marked, "host", "left")
-        host_listed = F.coalesce("on_list", F.lit(False))
-    else:
-        host_listed = listed(F.col("host"), built.hosts)
-    verdict = built.verdict("rule", host_listed).alias("verdict")
+    built = build_filter(urls, rules, max_bytes)
+    of_corpus = urls.select(F.col("host").alias("key"), F.lit(False).alias("listed"))
+    universe = of_corpus.union(hosts.select("host", F.lit(True)))
+    found = with_listed(urls, "host", universe, max_bytes).withColumn("rule", built.rule("host", "path"))
+    verdict = built.verdict("rule", F.col("_listed")).alias("verdict")
     return found.select(F.col("id").alias(id_col), "host", "path", "rule", verdict)

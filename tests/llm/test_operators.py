@@ -357,6 +357,29 @@ def test_cascade_is_exact_over_its_universe(spark):
     assert wrong.count() == 0
 
 
+@pytest.mark.parametrize("max_bytes", [8 << 20, 300])
+def test_cascades_by_shard_answer_alike(spark, max_bytes):
+    """Rows of one key that fill half of the table, rows that repeat, and keys listed and not."""
+    from pyspark.sql import functions as F
+
+    keys = spark.range(3000).select(
+        F.concat(F.lit("k"), F.col("id")).alias("key"), (F.col("id") % 7 == 0).alias("listed")
+    )
+    hot = spark.range(4000).select(F.lit("k14").alias("key"), F.lit(True).alias("right"), "id")
+    rows = keys.select("key", F.col("listed").alias("right"), F.lit(0).cast("long").alias("id"))
+    rows = rows.union(rows.limit(10)).union(hot)
+    found = url_filter.with_listed(rows, "key", keys, max_bytes)
+    assert found.columns == ["key", "right", "id", "_listed"]
+    assert found.count() == 7010
+    assert found.where("_listed IS DISTINCT FROM right").count() == 0
+    plan = found._jdf.queryExecution().toString()
+    assert "Join" not in plan
+    none = url_filter.with_listed(rows, "key", keys.select("key", F.lit(False).alias("listed")), max_bytes)
+    assert none.where("_listed").count() == 0
+    with pytest.raises(ValueError):
+        url_filter.with_listed(rows, "key", keys, 1)
+
+
 # -- 4 ----------------------------------------------------------------------------------------
 @pytest.fixture(scope="module")
 def tiktoken_encoding():
