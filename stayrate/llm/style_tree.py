@@ -3,9 +3,12 @@
 Pages of one host are merged into a tree whose nodes are paths of tags and classes. For every node
 the pages are counted by presentation (the sequence of its child tags) and by content (a digest of
 all text below it). A branch that looks and reads alike on most pages has little entropy and so
-little importance; if the node above it is important, it is cut from every page of the host. So is
-what a page itself declares to be no content: navigation, headers, footers, sidebars, forms, scripts,
-notices, adverts, comments. Where a page marks its article, only that is read; an article is never
+little importance; if the node above it is important, it is cut from every page of the host. The
+branches right below the body are also held against the one with most text: menus, footers and adverts
+that take turns are cut where they are clearly less important than it, whatever their names are. So is
+what a page itself declares to be no content, which hosts of few pages need: navigation, headers,
+footers, sidebars, forms, scripts, notices, adverts, comments. Declared noise has nodes of its own in
+the tree, but is no part of the content around it. Where a page marks its article, only that is read; an article is never
 cut as a whole, however often it is copied. Inside it only what reads the same on nearly all pages is
 cut, and only where it reads so; inline elements are never cut by themselves.
 
@@ -74,10 +77,13 @@ NOISE_WORDS = frozenset(
 WORD = re.compile(r"[a-z]+")
 #: Never cut as a whole.
 ROOTS = frozenset(("", "html", "body", "main", "article"))
+#: Blocks that can be a page's menu, footer or advert when they stand right below one of ROOTS.
+BRANCHES = frozenset("div section nav header footer aside menu ul ol dl table form".split())
 NODE = ("host", "path", "above")
-TREE = "path long, above long, guard int, kind string, value long"
-#: What may be cut of a node: all of it, its commonest content only, nothing.
-FREE, IN_ARTICLE, KEPT = 0, 1, 2
+TREE = "path long, above long, guard int, kind string, value long, chars long"
+#: What may be cut of a node: all of it, also by comparison with the branches beside it; all of it;
+#: its commonest content only; nothing.
+BRANCH, FREE, IN_ARTICLE, KEPT = -1, 0, 1, 2
 READ = "text string, n_chars long"
 
 
@@ -91,6 +97,7 @@ class Node:
     within: str  # the innermost of APART and HTML_IN_SVG
     children: list[str] = field(default_factory=list)
     own: list[str] = field(default_factory=list)
+    chars: int = 0
 
 
 def _hash(*parts: object) -> int:
@@ -209,35 +216,42 @@ def walk(source: str) -> Iterator[tuple[str, Node, str | None]]:
 
 
 def _contents(events: Iterable[tuple[str, Node, str | None]]) -> Iterator[tuple[Node, int]]:
-    """Nodes that are no noise, each with a digest of all text below it, at their end."""
+    """Nodes, each with a digest of all text below it, at their end.
+
+    Of declared noise only the topmost nodes are given; its text is no part of what is around it.
+    """
     for event, node, text in events:
-        if node.noise:
-            continue
         if event == "text":
             node.own.append(" ".join(text.split()))
+            node.chars += len(node.own[-1])
         elif event == "end":
             parts = [part for part in node.own if part]
             value = _hash(*parts)
-            if parts and node.parent:
-                node.parent.own.append(str(value))
-            yield node, value
+            above = node.parent
+            if parts and above and node.noise == above.noise:
+                above.own.append(str(value))
+                above.chars += node.chars
+            if not (node.noise and above and above.noise):
+                yield node, value
 
 
 def _guard(node: Node) -> int:
     whole = node.article and not (node.parent and node.parent.article)
     if whole or node.tag in ROOTS or node.tag in INLINE:
         return KEPT
-    return IN_ARTICLE if node.article else FREE
+    if node.article:
+        return IN_ARTICLE
+    return BRANCH if node.tag in BRANCHES and node.parent.tag in ROOTS else FREE
 
 
-def page_tree(source: str) -> set[tuple[int, int, int, str, int]]:
-    """(path, path above, guard, kind, value) of the nodes of one page."""
+def page_tree(source: str) -> set[tuple[int, int, int, str, int, int]]:
+    """(path, path above, guard, kind, value, characters) of the nodes of one page."""
     found = set()
     for node, content in _contents(walk(source)):
         above = node.parent.path if node.parent else 0
         place = (node.path, above, _guard(node))
-        found.add((*place, "style", _hash(*node.children)))
-        found.add((*place, "content", content))
+        found.add((*place, "style", _hash(*node.children), 0))
+        found.add((*place, "content", content, node.chars))
     return found
 
 
@@ -283,20 +297,20 @@ def style_trees(pages: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows, columns = [], ([], [], [], [], [])
+            rows, columns = [], ([], [], [], [], [], [])
             for i, source in enumerate(batch.column(1)):
                 for entry in page_tree(source.as_py()):
                     rows.append(i)
                     for column, x in zip(columns, entry):
                         column.append(x)
-            types = (pa.int64(), pa.int64(), pa.int32(), pa.string(), pa.int64())
+            types = (pa.int64(), pa.int64(), pa.int32(), pa.string(), pa.int64(), pa.int64())
             arrays = [pa.array(c, t) for c, t in zip(columns, types)]
             host = batch.column(0).take(pa.array(rows, pa.int32()))
-            names = ["host", "path", "above", "guard", "kind", "value"]
+            names = ["host", "path", "above", "guard", "kind", "value", "chars"]
             yield pa.RecordBatch.from_arrays([host, *arrays], names=names)
 
     nodes = pages.mapInArrow(run, f"host string, {TREE}")
-    counts = (F.count(F.lit(1)).alias("n"), F.max("guard").alias("guard"))
+    counts = (F.count(F.lit(1)).alias("n"), F.max("guard").alias("guard"), F.max("chars").alias("chars"))
     return nodes.groupBy(*NODE, "kind", "value").agg(*counts)
 
 
@@ -306,6 +320,7 @@ def unimportant(
     least_pages: int,
     of_content: float = 0.9,
     nearly_all: float = 0.9,
+    beside: float = 0.75,
 ) -> DataFrame:
     """(host, cut, same): the branches that hardly differ between at least ``least_pages`` pages.
 
@@ -313,6 +328,8 @@ def unimportant(
     which something different on every page is 1. A branch is cut if it has less than ``least`` and
     the node above it at least half of the scale. That scale grows with the host, so inside an article
     the commonest content must also have a share of ``nearly_all``, and only it is cut (``same``).
+    A branch right below the body is also cut if the branch beside it that holds most text of the host
+    has at least half of the scale and it has less than ``beside`` of that one's importance.
     """
     # -Σ n/m log(n/m) = log m - Σ n log n / m: two sums, so nothing is joined back to the values.
     m, n = F.sum("n"), F.col("n")
@@ -321,22 +338,29 @@ def unimportant(
     nodes = trees.groupBy(*NODE, "kind").agg(
         (entropy / F.log(F.greatest(m, F.lit(2)))).alias("entropy"), m.alias("m"),
         F.max("guard").alias("guard"), F.max(F.struct("n", "value")).alias("top"),
+        F.sum(n * F.col("chars")).alias("size"),
     )
     content = F.col("kind") == "content"
     nodes = nodes.groupBy(*NODE).agg(
         F.sum(weight * F.col("entropy")).alias("importance"),
         F.max(F.when(content, F.col("m"))).alias("m"),
         F.max(F.when(content, F.col("top"))).alias("top"),
+        F.max(F.when(content, F.col("size"))).alias("size"),
         F.max("guard").alias("guard"),
     )
-    nodes = staged(nodes, "importance")
+    nodes = staged(nodes, "importance").where(F.col("m") >= least_pages)
     above = nodes.select("host", F.col("path").alias("above"), F.col("importance").alias("around"))
-    common = (F.col("guard") == FREE) | (
+    common = (F.col("guard") <= FREE) | (
         (F.col("guard") == IN_ARTICLE) & (F.col("top.n") >= nearly_all * F.col("m"))
     )
-    low = nodes.where(common & (F.col("m") >= least_pages) & (F.col("importance") < least))
+    low = nodes.where(common & (F.col("importance") < least))
     low = low.join(above.where("around >= 0.5"), ["host", "above"], "left_semi")
-    free = F.col("guard") == FREE
+    largest = F.max(F.struct("size", "importance", "path")).alias("main")
+    main = nodes.groupBy("host", "above").agg(largest).where("main.importance >= 0.5")
+    less = (F.col("path") != F.col("main.path")) & (F.col("importance") < beside * F.col("main.importance"))
+    turns = nodes.where(F.col("guard") == BRANCH).join(main, ["host", "above"]).where(less).drop("main")
+    low = low.unionByName(turns)
+    free = F.col("guard") <= FREE
     same = F.struct("path", F.col("top.value").alias("content"))
     return low.groupBy("host").agg(
         F.collect_set(F.when(free, F.col("path"))).alias("cut"),

@@ -725,7 +725,7 @@ def test_importance_is_that_of_plain_entropies(spark):
     schema = "host string, path long, above long, guard int, kind string, value long"
     frame = spark.createDataFrame([(h, p, a, style_tree.FREE, k, v) for h, p, a, k, v in entries], schema)
     counts = frame.groupBy(*style_tree.NODE, "kind", "value").agg({"guard": "max", "*": "count"})
-    counts = counts.withColumnsRenamed({"max(guard)": "guard", "count(1)": "n"})
+    counts = counts.withColumnsRenamed({"max(guard)": "guard", "count(1)": "n"}).selectExpr("*", "1 AS chars")
     importance = defaultdict(float)
     for p in range(1, 9):
         for kind, weight in (("content", 0.9), ("style", 0.1)):
@@ -754,6 +754,41 @@ def test_branches_that_all_pages_share_are_cut(spark):
     assert style_tree.main_text(pages.limit(0)).count() == 0
 
 
+def test_menus_that_take_turns_are_cut_without_their_names(spark):
+    """Blocks without any declared name; the article is the branch with most text, also if many are copies."""
+    page = "<body><div class=a>menu {} of some</div><div class=b>{}</div><div class=c>notice {}</div></body>"
+    rows = [(i, "http://a.org/x", page.format(i % 20, f"article {i} " * 9, i % 9)) for i in range(400)]
+    copied = lambda i: f"article {i % 2 * i} " * 9
+    rows += [(1000 + i, "http://b.org/x", page.format(i, copied(i), i)) for i in range(40)]
+    rows += [(2000 + i, "http://c.org/x", page.format(i % 2, f"article {i} " * 9, i % 2)) for i in range(5)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    text = {r.page_id: r.text for r in style_tree.main_text(pages).collect()}
+    for i in range(400):
+        assert text[i] == (f"article {i} " * 9).strip()
+    for i in range(40):
+        assert text[1000 + i] == f"menu {i} of some {copied(i)}notice {i}"
+    assert text[2003] == "menu 1 of some " + "article 3 " * 9 + "notice 1"  # too few pages to tell
+
+
+def test_large_hosts_of_the_test_pages_without_declared_noise(spark):
+    """Where one host has hundreds of pages, the trees alone find what the elements declare."""
+    from pyspark.sql import functions as F
+
+    html = F.col("html")
+    for old, new in (("nav", "a"), ("footer", "b"), ("article", "c")):
+        html = F.replace(html, F.lit(f"<{old}>"), F.lit(f"<div class={new}>"))
+        html = F.replace(html, F.lit(f"</{old}>"), F.lit("</div>"))
+    html = F.replace(html, F.lit('class="ad"'), F.lit("class=d"))
+    pages = spark.read.parquet(f"{TESTDATA}/sf0.1/pages.parquet")
+    host = url_filter.host_of("url")
+    large = pages.groupBy(host.alias("host")).count().where("count >= 300").select("host")
+    pages = pages.withColumn("host", host).join(large, "host", "left_semi")
+    right = collected(style_tree.main_text(pages), "page_id")
+    found = collected(style_tree.main_text(pages.withColumn("html", html)), "page_id")
+    assert len(found) >= 300
+    assert all(found[i].text == right[i].text for i in right)
+
+
 @pytest.mark.parametrize("n", [10, 10_000])
 def test_what_repeats_in_articles_is_kept_on_hosts_of_any_size(spark, n):
     page = "<article><h2>Part {}</h2><p>text {} <b>bold</b> here</p><div class=x>{}</div></article>"
