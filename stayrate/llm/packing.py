@@ -13,6 +13,7 @@
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import zlib
@@ -43,8 +44,24 @@ class WordTokens:
     words, one after another. Arrow splits the texts of a batch and numbers their distinct words;
     only words not seen before are tokenized. Words of Latin letters, digits and ASCII signs are cut
     into the tokenizer's own units here and go straight to its model; all others take its full path.
+    That holds for files with the normaliser and pre-tokenizer of ``BY_WORDS``; by any other file
+    whole texts take the full path.
     """
 
+    BY_WORDS = {
+        "normalizer": {"type": "Sequence", "normalizers": [
+            {"type": "NFC"},
+            {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "},
+            {"type": "Lowercase"},
+        ]},
+        "pre_tokenizer": {"type": "Sequence", "pretokenizers": [
+            {"type": "Split",
+             "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"},
+             "behavior": "Removed", "invert": True},
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ]},
+    }
+
     UNITS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\s\w]|_)+").findall
     NOT_PLAIN = re.compile("[^!-~\xa1-\xb1\xb4-\xb8\xba\xbb\xbf-\u012f\u0131-\u024f]").search
 
@@ -54,6 +71,13 @@ class WordTokens:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are plain text
+        self.tokenizer.no_truncation()
+        self.tokenizer.no_padding()
+        with open(path, encoding="utf-8") as file:
+            parts = json.load(file)
+        # Added tokens that are not special are found in the text before it is cut into words.
+        special = all(token["special"] for token in parts["added_tokens"])
+        self.by_words = special and all(parts[name] == part for name, part in self.BY_WORDS.items())
         as_bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         latin = filter(str.isprintable, map(chr, range(0x21, 0x250)))
         self.spelled = str.maketrans({c: as_bytes.pre_tokenize_str(c)[0][0] for c in latin})
@@ -77,6 +101,9 @@ class WordTokens:
 
     def encode(self, texts: pa.Array) -> list[np.ndarray]:
         """Ids of each text, without special tokens."""
+        if not self.by_words:
+            found = self.tokenizer.encode_batch(texts.to_pylist(), add_special_tokens=False)
+            return [np.array(e.ids, np.int32) for e in found]
         if len(self.known) > KEPT_WORDS:
             self.forget()
         for blank in "\n\t\r":

@@ -801,6 +801,21 @@ def test_what_repeats_in_articles_is_kept_on_hosts_of_any_size(spark, n):
 
 
 # -- 10 ---------------------------------------------------------------------------------------
+@pytest.mark.parametrize("name, by_words", [("word_bpe_49k.json", True), ("byte_bpe_50k.json", False)])
+def test_tokens_are_those_of_the_file(texts, name, by_words):
+    import pyarrow as pa
+
+    tokenizers = pytest.importorskip("tokenizers")
+    path = public_tokenizers.path(name)
+    plain = tokenizers.Tokenizer.from_file(path)
+    plain.encode_special_tokens = True
+    sample = [*list(texts.values())[:200], "", " \n\t", "It's 2024!! e\u0301 \u00c9COLE", "a  b\u00a0c"]
+    tokens = packing.WordTokens(path)
+    assert tokens.by_words == by_words
+    found = tokens.encode(pa.array(sample, pa.string()))
+    assert [ids.tolist() for ids in found] == [plain.encode(t, add_special_tokens=False).ids for t in sample]
+
+
 def check_packing(rows, texts, size):
     """Every id in one piece, sequences gapless and not too long; returns the padding's share."""
     from tokenizers import Tokenizer
